@@ -36,27 +36,39 @@ def with_missing(df: DataFrame, columns: Mapping[str, object]) -> DataFrame:
     return df.withColumns(add) if add else df
 
 
-# Matches "<digits/separators><sep><1-2 digits>" - the trailing separator is the
-# decimal point, every other '.' or ',' is a thousands mark.
-_MONEY_WITH_FRACTION = r"^(-?)([0-9.,]*?)[.,]([0-9]{1,2})$"
+# Whole money text: optional sign, integer part with any thousands marks, then an
+# optional decimal separator followed by one or two digits at the very end.
+_MONEY_PARTS = r"^(-?)([0-9.,]*?)(?:[.,]([0-9]{1,2}))?$"
 
 
-def money(c: ColumnLike, dtype: T.DecimalType = MONEY) -> Column:
-    """Parse money text in US or European notation into an exact decimal.
+def with_money(df: DataFrame, targets: Mapping[str, ColumnLike], dtype: T.DecimalType = MONEY) -> DataFrame:
+    """Add exact-decimal columns parsed from money text in US or European notation.
 
-    ``€24,99`` -> 24.99, ``€1.234,50`` -> 1234.50, ``1,234.50`` -> 1234.50,
-    ``$5`` -> 5.00, ``-3,5`` -> -3.50, text without digits -> NULL.
-    Numeric input is accepted too (it is rendered as text first).
+    ``targets`` maps new column -> source column.  A trailing separator followed by
+    one or two digits is the decimal point; every other '.' or ',' is a thousands
+    mark: ``€24,99`` -> 24.99, ``€1.234,50`` -> 1234.50, ``1,234.50`` -> 1234.50,
+    ``$5`` -> 5.00, ``-3,5`` -> -3.50, ``1.234`` -> 1234; text without digits -> NULL.
+    Numbers rendered in scientific notation (``1.0E7``, numeric sources) cast directly.
+
+    Staged as three projections so the regex work runs once per value (Spark does
+    not re-inline a non-trivial expression that is referenced more than once).
     """
-    raw = _col(c).cast("string")
-    clean = F.regexp_replace(F.trim(raw), r"[^0-9.,\-]", "")
-    has_frac = clean.rlike(_MONEY_WITH_FRACTION)
-    int_part = F.when(has_frac, F.regexp_extract(clean, _MONEY_WITH_FRACTION, 2)).otherwise(clean)
-    int_digits = F.regexp_replace(int_part, r"[^0-9]", "")
-    frac = F.when(has_frac, F.regexp_extract(clean, _MONEY_WITH_FRACTION, 3)).otherwise(F.lit("0"))
-    sign = F.when(clean.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    text = F.concat(sign, F.when(int_digits == "", F.lit("0")).otherwise(int_digits), F.lit("."), frac)
-    return F.when(clean.rlike("[0-9]"), text.try_cast(dtype))
+    stage1, stage2, final, temps = {}, {}, {}, []
+    for out, src in targets.items():
+        raw, clean, ip, fp = (f"__{out}_raw", f"__{out}_clean", f"__{out}_int", f"__{out}_frac")
+        temps += [raw, clean, ip, fp]
+        stage1[raw] = _col(src).cast("string")
+        stage1[clean] = F.regexp_replace(_col(src).cast("string"), r"[^0-9.,\-]", "")
+        stage2[ip] = F.translate(F.regexp_extract(F.col(clean), _MONEY_PARTS, 2), ".,", "")
+        stage2[fp] = F.regexp_extract(F.col(clean), _MONEY_PARTS, 3)
+        text = F.concat(
+            F.when(F.col(clean).startswith("-"), F.lit("-")).otherwise(F.lit("")),
+            F.when(F.col(ip) == "", F.lit("0")).otherwise(F.col(ip)), F.lit("."),
+            F.when(F.col(fp) == "", F.lit("0")).otherwise(F.col(fp)))
+        parsed = F.when(F.col(clean).rlike(_MONEY_PARTS) & ((F.col(ip) != "") | (F.col(fp) != "")),
+                        text.try_cast(dtype))
+        final[out] = F.when(F.upper(F.col(raw)).contains("E"), F.col(raw).try_cast(dtype)).otherwise(parsed)
+    return df.withColumns(stage1).withColumns(stage2).withColumns(final).drop(*temps)
 
 
 def to_usd(amount: ColumnLike, rate: ColumnLike) -> Column:
@@ -102,6 +114,16 @@ def normalized_status(c: ColumnLike = "payment_status") -> Column:
 OrderSpec = tuple[ColumnLike, str]
 
 
+def sort_columns(specs: Sequence[OrderSpec | ColumnLike]) -> list[Column]:
+    """``specs`` as sort expressions with SQL default null placement."""
+    out = []
+    for spec in specs:
+        c, direction = (spec if isinstance(spec, tuple) else (spec, "asc"))
+        col = _col(c)
+        out.append(col.desc_nulls_last() if direction.lower() == "desc" else col.asc_nulls_first())
+    return out
+
+
 def rank_key(df: DataFrame, specs: Sequence[OrderSpec | ColumnLike]) -> Column:
     """A struct whose ascending order equals the ORDER BY described by ``specs``.
 

@@ -1,4 +1,4 @@
-"""Duplicate marking by business priority, written as aggregates instead of windows.
+"""Duplicate marking by business priority, safe against hot keys.
 
 The business rule: within one order line key, the best copy is the one with the best
 payment status (settled > completed > pending, unknown = completed), then the latest
@@ -6,26 +6,31 @@ order timestamp, then the latest arrival.  Further tie-breaks make the choice to
 and independent of input order: product, quantity, amount, then the source file and
 row the copy came from.
 
-Why no ``row_number() OVER (PARTITION BY key ...)``: a window sends every copy of a
-key to one task.  If one key holds a third of all rows, that task does a third of
-the job.  ``min(rank_struct)`` is an ordinary aggregate, so Spark combines it inside
-each map task before the shuffle; a hot key arrives at the reducer as one row per
-map task.  Marking rows then joins each row with its key's winner; the hot key's
-side of that join is a single row, and AQE's skew-join split spreads the hot key's
-many rows over several tasks.
+A plain ``row_number() OVER (PARTITION BY key ...)`` over all rows sends every copy
+of a key to one task; if one key holds a third of all rows, that task does a third
+of the job.  Here:
+
+* ``keep_best`` asks only for rank 1, which Spark plans as a *partial* group limit
+  in every map task before the shuffle and a final one after it: a hot key reaches
+  the reducer as one row per map task.
+* ``mark_duplicates`` computes those winners (a narrow projection: keys, order
+  columns, row identity), then left-joins all rows to them on key *plus* row
+  identity.  The join key includes the identity, so a hot order key's rows hash to
+  many partitions; no task ever holds a whole group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.columns import OrderSpec, rank_key, status_priority
+from ledgerline.functions.columns import OrderSpec, sort_columns, status_priority
 from ledgerline.schemas import DUPLICATE_REASON, ORDER_KEYS
 
 FLAG_COLUMNS = ("_is_duplicate", "_duplicate_reason")
+IDENTITY = ("_source_file", "_source_row")
 
 
 def business_order(df: DataFrame) -> list[OrderSpec]:
@@ -48,25 +53,33 @@ def _split_null_keys(df: DataFrame, keys: Sequence[str]):
 
 
 def mark_duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
-                    order: Sequence[OrderSpec] | None = None) -> DataFrame:
+                    order: Sequence[OrderSpec] | None = None,
+                    identity: Sequence[str] = IDENTITY) -> DataFrame:
     """Keep every row; add ``_is_duplicate`` and ``_duplicate_reason``.
 
-    Exactly one row per key is not a duplicate (the best by ``order``).
+    Exactly one row per key is not a duplicate (the best by ``order``), provided the
+    ``identity`` columns (source file, row within it) tell rows apart - which the
+    Bronze readers guarantee.  Rows with a NULL key part are never duplicates.
     """
     keys = list(keys)
     order = list(order) if order is not None else business_order(df)
+    identity = [c for c in identity if c in df.columns]
+    if not identity:
+        raise ValueError("mark_duplicates needs row identity columns, e.g. _source_file/_source_row")
     cols = df.columns
     keyed, nullkeyed = _split_null_keys(df, keys)
-    ranked = keyed.withColumn("_rk", rank_key(df, order))
-    best = (ranked.groupBy(*keys)
-            .agg(F.min("_rk").alias("_best"), F.count(F.lit(1)).alias("_copies")))
-    joined = ranked.join(best, on=keys, how="inner")
-    dup = joined["_rk"] != joined["_best"]
-    marked = joined.select(
-        *cols,
-        dup.alias("_is_duplicate"),
-        F.when(dup & (F.col("_copies") > 1), F.lit(DUPLICATE_REASON)).alias("_duplicate_reason"),
-    )
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    winners = (keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+               .select(*[F.col(c).alias(f"_w{c}") for c in keys + identity], F.lit(True).alias("_won")))
+    on = None
+    for c in keys + identity:
+        cond = keyed[c].eqNullSafe(winners[f"_w{c}"]) if c in identity else keyed[c] == winners[f"_w{c}"]
+        on = cond if on is None else (on & cond)
+    joined = keyed.join(winners, on, "left")
+    dup = F.col("_won").isNull()
+    # a row can only lose to another copy, so every duplicate has at least two copies
+    marked = joined.select(*cols, dup.alias("_is_duplicate"),
+                           F.when(dup, F.lit(DUPLICATE_REASON)).alias("_duplicate_reason"))
     singles = nullkeyed.select(*cols, F.lit(False).alias("_is_duplicate"),
                                F.lit(None).cast("string").alias("_duplicate_reason"))
     return marked.unionByName(singles)
@@ -76,21 +89,20 @@ def keep_best(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
               order: Sequence[OrderSpec] | None = None) -> DataFrame:
     """One row per key: the winner ``mark_duplicates`` would keep.
 
-    Implemented as a single ``min(struct(rank, row))`` aggregate, which Spark
-    pre-aggregates map-side; no join and no window.  Rows already marked
+    Written as ``row_number() ... = 1`` over the total rank order.  Spark plans this
+    as a *partial* WindowGroupLimit before the shuffle (each map task keeps only its
+    best row per key) and a final one after it, so a hot key sends at most one row
+    per map task through the exchange - the same map-side reduction an aggregate
+    gets - while unused columns are still pruned below it.  Rows already marked
     (``_is_duplicate`` present) are simply filtered.
     """
     if "_is_duplicate" in df.columns:
         return df.filter(~F.col("_is_duplicate"))
     keys = list(keys)
     order = list(order) if order is not None else business_order(df)
-    cols = df.columns
     keyed, nullkeyed = _split_null_keys(df, keys)
-    payload = [c for c in cols if c not in keys]
-    best = (keyed.groupBy(*keys)
-            .agg(F.min(F.struct(rank_key(df, order).alias("rk"),
-                                F.struct(*payload).alias("row"))).alias("_m")))
-    winners = best.select(*keys, *[F.col(f"_m.row.{c}").alias(c) for c in payload]).select(*cols)
+    w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
+    winners = keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     return winners.unionByName(nullkeyed)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import (
-    lookup, map_values, money, normalized_status, parse_ts, to_usd, with_missing,
+    lookup, map_values, normalized_status, parse_ts, to_usd, with_missing, with_money,
 )
 from ledgerline.schemas import (
     C_CUSTOMER, C_ITEM, C_PAYMENT, CANONICAL, CANONICAL_COLUMNS, DATE_FORMAT_A, DATE_FORMAT_B,
@@ -49,9 +49,11 @@ def vendor_a(df: DataFrame, payment_map: Mapping[str, str] = PAYMENT_MAP_A) -> D
         "loyalty_points": "string", "discount_pct": "string", "unit_price": "string",
         "total_amount": "string", "payment_status": "string", **_LINEAGE_DEFAULTS,
     })
-    unit = money("unit_price")
-    qty = _int("quantity")
-    pct = F.trim(F.col("discount_pct").cast("string")).try_cast(PCT)
+    df = with_money(df, {"_unit": "unit_price", "_total": "total_amount"}).withColumns({
+        "_qty": _int("quantity"),
+        "_pct": F.trim(F.col("discount_pct").cast("string")).try_cast(PCT),
+    })
+    unit, qty, pct = F.col("_unit"), F.col("_qty"), F.col("_pct")
     out = df.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.lit(1).alias("line_number"),
@@ -60,7 +62,7 @@ def vendor_a(df: DataFrame, payment_map: Mapping[str, str] = PAYMENT_MAP_A) -> D
         F.col("product_sku").cast("string").alias("product_sku"),
         qty.alias("quantity"),
         unit.alias("unit_price_usd"),
-        money("total_amount").alias("total_amount_usd"),
+        F.col("_total").alias("total_amount_usd"),
         F.when(pct.isNotNull(), (unit * qty.cast("decimal(10,0)") * pct / F.lit(100)).cast(MONEY))
          .alias("discount_amt_usd"),
         map_values("payment_method", payment_map).alias("payment_method"),
@@ -89,8 +91,9 @@ def vendor_b(df: DataFrame, sku_map: Mapping[str, str] = SKU_MAP,
         "payment_status": "string", **_LINEAGE_DEFAULTS,
     })
     rate = F.lit(FX_RATES[VENDOR_B_CURRENCY]).cast(RATE)
-    qty = _int("quantity")
-    unit = to_usd(money("unit_price"), rate)
+    df = with_money(df, {"_unit": "unit_price", "_total": "total_amount", "_vat": "vat_amount"})
+    df = df.withColumns({"_qty": _int("quantity"), "_unit_usd": to_usd("_unit", rate)})
+    qty, unit = F.col("_qty"), F.col("_unit_usd")
     out = df.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.lit(1).alias("line_number"),
@@ -99,7 +102,7 @@ def vendor_b(df: DataFrame, sku_map: Mapping[str, str] = SKU_MAP,
         map_values("product_code", sku_map).alias("product_sku"),
         qty.alias("quantity"),
         unit.alias("unit_price_usd"),
-        to_usd(money("total_amount"), rate).alias("total_amount_usd"),
+        to_usd("_total", rate).alias("total_amount_usd"),
         F.lit(None).cast(MONEY).alias("discount_amt_usd"),
         map_values("payment_method", payment_map).alias("payment_method"),
         F.col("country_code").cast("string").alias("country_code"),
@@ -108,7 +111,7 @@ def vendor_b(df: DataFrame, sku_map: Mapping[str, str] = SKU_MAP,
         F.col("_source_vendor").alias("source_vendor"),
         F.lit(VENDOR_B_CURRENCY).alias("source_currency"),
         rate.alias("exchange_rate"),
-        to_usd(money("vat_amount"), rate).alias("vat_amount_usd"),
+        to_usd("_vat", rate).alias("vat_amount_usd"),
         "_ingestion_timestamp", "_source_file",
         normalized_status("payment_status").alias("payment_status"),
         _line_total(qty, unit).alias("line_total_usd"),
@@ -134,9 +137,10 @@ def vendor_c(df: DataFrame, fx_rates: Mapping[str, str] = FX_RATES) -> DataFrame
     )
     lines = parsed.select("*", F.posexplode_outer("_items").alias("_pos", "_item"))
     currency = F.upper(F.trim(F.col("_payment.currency")))
-    rate = F.coalesce(lookup(currency, fx_rates, RATE), F.lit(FX_DEFAULT_RATE).cast(RATE))
-    qty = F.col("_item.qty")
-    unit = to_usd(F.col("_item.price"), rate)
+    lines = lines.withColumn(
+        "_rate", F.coalesce(lookup(currency, fx_rates, RATE), F.lit(FX_DEFAULT_RATE).cast(RATE)))
+    lines = lines.withColumn("_unit_usd", to_usd(F.col("_item.price"), F.col("_rate")))
+    rate, qty, unit = F.col("_rate"), F.col("_item.qty"), F.col("_unit_usd")
     out = lines.select(
         F.col("order_number").cast("string").alias("order_id"),
         (F.coalesce(F.col("_pos"), F.lit(0)) + 1).cast("int").alias("line_number"),

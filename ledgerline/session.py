@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 # broadcast join only after it has *measured* the small side.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,17 +25,27 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # No broadcast decided from (compressed) file-size guesses; AQE may still switch a
+    # join to broadcast once it has measured the materialised side below this size.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 
 def build_session(master: str | None = None, app: str = "ledgerline",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the defaults above."""
+                  extra: dict | None = None, driver_memory: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the defaults above.
+
+    ``driver_memory`` only matters in local mode (the driver JVM hosts the executors)
+    and only takes effect if this call starts the JVM.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

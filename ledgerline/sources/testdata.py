@@ -72,9 +72,11 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     geo = (table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
            .join(table(spark, sf_dir, "region").select("r_regionkey", "r_name"),
                  F.col("n_regionkey") == F.col("r_regionkey")))
-    order_side = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    # Both sides of these two joins grow with the data: sort-merge join (spills, and
+    # AQE splits skewed keys).  Only the fixed-size geography is broadcast.
+    order_side = (orders.join(cust.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
                   .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
-    facts = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey"))
+    facts = li.join(order_side.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
     vendor = _case(F.col("r_name"), REGION_VENDOR, VENDOR_B)
     amount = F.col("l_extendedprice").cast(MONEY)
