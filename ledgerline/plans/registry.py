@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup, gold
 from ledgerline.plans import oracle as O
@@ -145,3 +146,93 @@ def q_rev_order_grain(spark, sf):
 def q_rev_status(spark, sf):
     return gold.daily_revenue_by_vendor(S.test_silver(spark, sf), statuses=["settled", "completed"],
                                         audit=False)
+
+
+# --- Sources: landing files written from the test tables, read back -----------
+
+def _landing(spark, name: str) -> str:
+    from ledgerline.session import scratch_path
+    return scratch_path(spark, "landing", name)
+
+
+def _land_a(spark, sf):
+    from ledgerline.schemas import VENDOR_A_V1, VENDOR_A_V2
+    from ledgerline.sources import files, testdata
+    feed = testdata.vendor_a_feed(testdata.order_facts(spark, sf))
+    root = _landing(spark, "vendor_a")
+    files.write_vendor_files(feed.filter(~F.col("_layout_v2")), f"{root}/v1", VENDOR_A_V1 + ["payment_status"])
+    files.write_vendor_files(feed.filter(F.col("_layout_v2")), f"{root}/v2", VENDOR_A_V2 + ["payment_status"])
+    return root
+
+
+def _vendor_lines_sql(vendor: str) -> str:
+    return _sql(f"SELECT {_LINE_SQL} FROM lines WHERE source_vendor = '{vendor}'")
+
+
+@register("csv_comma_scan", _vendor_lines_sql("vendor_a"))
+def q_csv_comma(spark, sf):
+    """Vendor A: two header layouts in one folder, read per layout, normalised."""
+    from ledgerline.operators import normalize
+    from ledgerline.sources import files
+    root = _land_a(spark, sf)
+    return normalize.vendor_a(files.read_vendor_a(spark, f"{root}/*/*.csv")).select(*LINE_COLUMNS)
+
+
+@register("csv_pipe_scan", _vendor_lines_sql("vendor_b"))
+def q_csv_pipe(spark, sf):
+    from ledgerline.operators import normalize
+    from ledgerline.schemas import VENDOR_B_COLUMNS
+    from ledgerline.sources import files, testdata
+    feed = testdata.vendor_b_feed(testdata.order_facts(spark, sf))
+    root = files.write_vendor_files(feed, _landing(spark, "vendor_b"), VENDOR_B_COLUMNS + ["payment_status"],
+                                    sep="|")
+    return normalize.vendor_b(files.read_vendor_b(spark, f"{root}/*.csv")).select(*LINE_COLUMNS)
+
+
+@register("tsv_json_scan", _vendor_lines_sql("vendor_c"))
+def q_tsv_json(spark, sf):
+    from ledgerline.operators import normalize
+    from ledgerline.schemas import VENDOR_C_COLUMNS
+    from ledgerline.sources import files, testdata
+    feed = testdata.vendor_c_feed(testdata.order_facts(spark, sf))
+    root = files.write_vendor_files(feed, _landing(spark, "vendor_c"), VENDOR_C_COLUMNS,
+                                    sep="\t", quote='"', escape='"')
+    return normalize.vendor_c(files.read_vendor_c(spark, f"{root}/*.csv")).select(*LINE_COLUMNS)
+
+
+@register("schema_drift_union", _sql(
+    "SELECT order_id, customer_email, promo_code, loyalty_points, "
+    "CASE WHEN promo_code IS NOT NULL THEN 'v2' ELSE 'v1' END AS layout "
+    "FROM lines WHERE source_vendor = 'vendor_a'"))
+def q_drift(spark, sf):
+    """Old and new vendor A layouts under one glob: every value lands in its own column."""
+    from ledgerline.sources import files
+    root = _land_a(spark, sf)
+    raw = files.read_vendor_a(spark, f"{root}/*/*.csv")
+    return raw.select(
+        "order_id",
+        F.coalesce("email", "customer_email").alias("customer_email"),
+        "promo_code",
+        F.col("loyalty_points").try_cast("int").alias("loyalty_points"),
+        F.when(F.col("email").isNotNull(), F.lit("v2")).otherwise(F.lit("v1")).alias("layout"))
+
+
+@register("ingest_anti_join", _vendor_lines_sql("vendor_b"))
+def q_ingest(spark, sf):
+    """Two ingest runs over a growing landing folder: the second loads only new files."""
+    from ledgerline.operators import normalize
+    from ledgerline.plans import tables
+    from ledgerline.schemas import VENDOR_B_COLUMNS
+    from ledgerline.sources import files, testdata
+    feed = testdata.vendor_b_feed(testdata.order_facts(spark, sf))
+    land = _landing(spark, "vendor_b_batches")
+    cols = VENDOR_B_COLUMNS + ["payment_status"]
+    early = F.col("_ingestion_timestamp") < F.lit("1998-01-01").cast("timestamp")
+    files.write_vendor_files(feed.filter(early), f"{land}/batch=1", cols, sep="|")
+    bronze = _landing(spark, "bronze_vendor_b")
+    tables.publish(files.read_vendor_b(spark, f"{land}/*/*.csv"), bronze)          # run 1
+    files.write_vendor_files(feed.filter(~early), f"{land}/batch=2", cols, sep="|")
+    loaded = tables.read(spark, bronze)
+    new = files.only_new(files.read_vendor_b(spark, f"{land}/*/*.csv"), loaded)    # run 2
+    tables.publish(loaded.unionByName(new), bronze)
+    return normalize.vendor_b(tables.read(spark, bronze)).select(*LINE_COLUMNS)
