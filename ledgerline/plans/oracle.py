@@ -139,28 +139,59 @@ RANK_ORDER = ("{prio} ASC, order_timestamp DESC NULLS LAST, _ingestion_timestamp
               "_source_file ASC NULLS FIRST")
 
 
-def marked_cte() -> str:
-    """CTEs ``lines``, ``marked`` (all lines + flags) and ``silver`` (winners)."""
+def silver_ctes(marked: str = "marked", silver: str = "silver", where: str = "", src: str = "lines") -> str:
+    """CTEs ``<marked>`` (lines + dedup flags) and ``<silver>`` (winners) over ``lines``."""
     order = RANK_ORDER.format(prio=_status_prio("payment_status"))
-    return f"""WITH {lines_cte()},
-ranked AS (
+    return f"""{marked}_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY order_id, line_number ORDER BY {order}) AS _rn,
          count(*) OVER (PARTITION BY order_id, line_number) AS _copies
-  FROM lines
+  FROM {src} {where}
 ),
-marked AS (
+{marked} AS (
   SELECT * EXCLUDE (_rn, _copies), _rn > 1 AS _is_duplicate,
          CASE WHEN _rn > 1 AND _copies > 1 THEN {_q(DUPLICATE_REASON)} END AS _duplicate_reason
-  FROM ranked
+  FROM {marked}_ranked
 ),
-silver AS (SELECT * FROM marked WHERE NOT _is_duplicate)
-"""
+{silver} AS (SELECT * FROM {marked} WHERE NOT _is_duplicate)"""
+
+
+EARLY = "WHERE _ingestion_timestamp < TIMESTAMP '1998-01-01 00:00:00'"
+
+
+def marked_cte() -> str:
+    """CTEs ``lines``, ``marked``/``silver`` (all arrivals) and ``marked_early``/``silver_early``
+    (lines that arrived before 1998)."""
+    return (f"WITH {lines_cte()},\n{silver_ctes()},\n"
+            f"{silver_ctes('marked_early', 'silver_early', EARLY)}\n")
+
+
+def upsert_sql(target: str, source: str, keys: list[str], cols: list[str],
+               update: list[str] | None = None) -> str:
+    """SQL of MERGE target USING source ON keys (NULL-safe) UPDATE <update> INSERT *."""
+    update = [c for c in cols if c not in keys] if update is None else update
+    on = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in keys)
+    sel = []
+    for c in cols:
+        if c in keys or c not in update:
+            sel.append(f"CASE WHEN t.__t THEN t.{c} ELSE s.{c} END AS {c}")
+        else:
+            sel.append(f"CASE WHEN s.__s THEN s.{c} ELSE t.{c} END AS {c}")
+    return (f"SELECT {', '.join(sel)} FROM (SELECT *, TRUE AS __t FROM ({target}) x) t "
+            f"FULL OUTER JOIN (SELECT *, TRUE AS __s FROM ({source}) y) s ON {on}")
 
 
 def money_sum(c: str) -> str:
     return f"CAST(SUM({c}) AS DECIMAL(18,2))"
 
 
+def customer_sql(source: str = "silver") -> str:
+    return (f"SELECT customer_email, COUNT(order_id) AS order_count, "
+            f"{money_sum('total_amount_usd')} AS total_amount_usd, "
+            f"{money_sum('discount_amt_usd')} AS total_discount_usd, "
+            f"{money_ratio('SUM(total_amount_usd)', 'COUNT(order_id)')} AS avg_order_value_usd "
+            f"FROM {source} GROUP BY ALL")
+
+
 def revenue_sql(dims: list[str], duplicate_count: bool = True, source: str = "silver",
                 grain: str = "row", where: str = "") -> str:
     dim_exprs = [("CAST(order_timestamp AS DATE) AS order_date" if d == "order_date" else d) for d in dims]

@@ -236,3 +236,124 @@ def q_ingest(spark, sf):
     new = files.only_new(files.read_vendor_b(spark, f"{land}/*/*.csv"), loaded)    # run 2
     tables.publish(loaded.unionByName(new), bronze)
     return normalize.vendor_b(tables.read(spark, bronze)).select(*LINE_COLUMNS)
+
+
+# --- MERGE (upsert) ----------------------------------------------------------
+
+_EARLY_TS = "1998-01-01"
+
+
+def _early_silver(spark, sf):
+    lines = S.test_unified(spark, sf)
+    return dedup.keep_best(lines.filter(F.col("_ingestion_timestamp") < F.lit(_EARLY_TS).cast("timestamp")))
+
+
+_REV_COLS = ["source_vendor", "order_date", "total_amount_usd", "order_count", "total_discount_usd",
+             "avg_order_value_usd", "duplicate_count"]
+_REV_KEYS = ["source_vendor", "order_date"]
+_SUBSET = ["total_amount_usd", "order_count", "total_discount_usd"]
+
+
+@register("merge_update_subset", _sql(O.upsert_sql(
+    O.revenue_sql(_REV_KEYS, source="silver_early"), O.revenue_sql(_REV_KEYS), _REV_KEYS, _REV_COLS, _SUBSET)))
+def q_merge_subset(spark, sf):
+    """Gold built from early arrivals, then merged with a full rebuild, updating 3 measures."""
+    from ledgerline.operators import merge
+    target = gold.daily_revenue_by_vendor(_early_silver(spark, sf), audit=False)
+    source = gold.daily_revenue_by_vendor(S.test_silver(spark, sf), audit=False)
+    return merge.upsert(target, source, _REV_KEYS, update_cols=_SUBSET)
+
+
+@register("merge_update_all", _sql(O.upsert_sql(
+    O.revenue_sql(_REV_KEYS, source="silver_early"), O.revenue_sql(_REV_KEYS), _REV_KEYS, _REV_COLS)))
+def q_merge_all(spark, sf):
+    from ledgerline.operators import merge
+    target = gold.daily_revenue_by_vendor(_early_silver(spark, sf), audit=False)
+    source = gold.daily_revenue_by_vendor(S.test_silver(spark, sf), audit=False)
+    return merge.upsert(target, source, _REV_KEYS)
+
+
+_NULL_EMAIL = "CASE WHEN payment_method = 'paypal' THEN NULL ELSE customer_email END"
+_CUST_COLS = ["customer_email", "order_count", "total_amount_usd", "total_discount_usd", "avg_order_value_usd"]
+
+
+@register("merge_null_keys", _sql(O.upsert_sql(
+    O.customer_sql(f"(SELECT * REPLACE ({_NULL_EMAIL} AS customer_email) FROM silver_early)"),
+    O.customer_sql(f"(SELECT * REPLACE ({_NULL_EMAIL} AS customer_email) FROM silver)"),
+    ["customer_email"], _CUST_COLS)))
+def q_merge_null(spark, sf):
+    """NULL business keys match NULL-safely: the merged table has one NULL-email row."""
+    from ledgerline.operators import merge
+
+    def anon(df):
+        return df.withColumn("customer_email", F.when(F.col("payment_method") == "paypal", F.lit(None))
+                             .otherwise(F.col("customer_email")))
+    target = gold.customer_purchase_frequency(anon(_early_silver(spark, sf)), audit=False)
+    source = gold.customer_purchase_frequency(anon(S.test_silver(spark, sf)), audit=False)
+    return merge.upsert(target, source, ["customer_email"])
+
+
+# --- Incremental and streaming ------------------------------------------------
+
+
+@register("incremental_gold", _sql(O.revenue_sql(["source_vendor", "order_date"])))
+def q_incremental(spark, sf):
+    """Three arrival batches (plus one replayed) applied incrementally == full rebuild."""
+    from ledgerline.plans import tables
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming.incremental import apply_batch, arrival_batches, refresh_gold
+    root = scratch_path(spark, "incremental")
+    tables.publish(S.test_unified(spark, sf), f"{root}/lines")
+    lines = tables.read(spark, f"{root}/lines")
+    batches = arrival_batches(lines, ["1997-01-01", "1999-01-01"])
+    dims = ["source_vendor", "order_date"]
+
+    def build(silver):
+        return gold.daily_revenue_by_vendor(silver, audit=False)
+    marked = gold_now = None
+    for batch in batches + [batches[1]]:          # the last one is a replay: a no-op
+        new, touched = apply_batch(marked, batch)
+        new = tables.read(spark, f"{root}/silver", tables.publish(new, f"{root}/silver"))
+        fresh = (build(dedup.keep_best(new).drop(*dedup.FLAG_COLUMNS)) if gold_now is None
+                 else refresh_gold(gold_now, marked, new, touched, dims, build))
+        gold_now = tables.read(spark, f"{root}/gold", tables.publish(fresh, f"{root}/gold"))
+        marked = new
+    return gold_now
+
+
+_WAVES = ["1997-01-01", "1999-01-01"]
+_WAVE_SQL = ("CASE WHEN _ingestion_timestamp < TIMESTAMP '1997-01-01 00:00:00' THEN TIMESTAMP '2000-01-01 00:00:00' "
+             "WHEN _ingestion_timestamp < TIMESTAMP '1999-01-01 00:00:00' THEN TIMESTAMP '2000-01-02 00:00:00' "
+             "ELSE TIMESTAMP '2000-01-03 00:00:00' END")
+
+
+@register("stream_ingest_gold", O.marked_cte() + ", lines_c AS (SELECT * REPLACE (" + _WAVE_SQL +
+          " AS _ingestion_timestamp) FROM lines WHERE source_vendor = 'vendor_c'), " +
+          O.silver_ctes("marked_c", "silver_c", src="lines_c") + " " +
+          O.revenue_sql(["country_code", "order_date"], duplicate_count=False, source="silver_c"))
+def q_stream(spark, sf):
+    """Vendor C TSV files are delivered in three waves; after each delivery a scheduled
+    availableNow stream run (foreachBatch) merges the new files into Silver and refreshes
+    daily revenue by country.  A final run with nothing new is a no-op.  Copies of an
+    order line delivered in a later wave win ties (ingestion time = processing time)."""
+    from ledgerline.plans import tables
+    from ledgerline.schemas import VENDOR_C_COLUMNS
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import files, testdata
+    from ledgerline.streaming import stream
+    from ledgerline.streaming.incremental import arrival_batches
+    root = scratch_path(spark, "stream")
+    feed = testdata.vendor_c_feed(testdata.order_facts(spark, sf))
+    dims = ["country_code", "order_date"]
+
+    def build(silver):
+        return gold.daily_revenue_by_country(silver, audit=False)
+    handler = stream.make_batch_handler(f"{root}/silver", f"{root}/gold", dims, build)
+    waves = arrival_batches(feed, _WAVES)
+    for i, wave in enumerate(waves + [None]):
+        if wave is not None:
+            files.write_vendor_files(wave, f"{root}/landing/wave={i}", VENDOR_C_COLUMNS,
+                                     sep="\t", quote='"', escape='"')
+        src = stream.vendor_c_stream(spark, f"{root}/landing/*/", max_files=100000)
+        stream.run_available(src, handler, f"{root}/checkpoint")
+    return tables.read(spark, f"{root}/gold")

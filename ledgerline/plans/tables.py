@@ -40,6 +40,17 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return None if row is None or row["v"] is None else int(row["v"])
 
 
+def latest_commit(spark: SparkSession, root: str):
+    """The newest commit record (version, rows, committed_at, note) or None."""
+    c = _commits(spark, root)
+    if c is None:
+        return None
+    try:
+        return c.orderBy(F.col("version").desc()).limit(1).first()
+    except AnalysisException:
+        return None
+
+
 def version_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/v={version:06d}"
 
