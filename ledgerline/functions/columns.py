@@ -97,14 +97,15 @@ def lookup(c: ColumnLike, mapping: Mapping[str, str], dtype=None) -> Column:
     return out.cast(dtype) if dtype is not None else out
 
 
-def status_priority(c: ColumnLike = "payment_status") -> Column:
-    """settled 1, completed 2, pending 3; anything else (incl. NULL) ranks as completed."""
+def status_priority(c: ColumnLike = "payment_status", default: int = STATUS_DEFAULT_PRIORITY) -> Column:
+    """settled 1, completed 2, pending 3; anything else (incl. NULL) ranks ``default``
+    (completed by default)."""
     s = F.lower(F.trim(_col(c)))
     expr = None
     for status, prio in STATUS_PRIORITY.items():
         expr = (F.when(s == status, F.lit(prio)) if expr is None
                 else expr.when(s == status, F.lit(prio)))
-    return expr.otherwise(F.lit(STATUS_DEFAULT_PRIORITY))
+    return expr.otherwise(F.lit(default))
 
 
 def normalized_status(c: ColumnLike = "payment_status") -> Column:

@@ -167,6 +167,20 @@ def vendor_c(df: DataFrame, fx_rates: Mapping[str, str] = FX_RATES) -> DataFrame
     return canonical(out)
 
 
+def map_sku(lines: DataFrame, sku_map: DataFrame, raw_col: str = "product_sku",
+            code_col: str = "code", sku_col: str = "sku", broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Replace raw product codes by canonical SKUs from a mapping table; unmapped
+    codes pass through.  The map is broadcast only when a bounded count confirms it
+    has at most ``broadcast_rows`` rows; a product master beyond that is joined with a
+    shuffle (AQE may still broadcast it once it has measured it).
+    """
+    m = sku_map.select(F.col(code_col).alias("_code"), F.col(sku_col).alias("_sku")).dropDuplicates(["_code"])
+    small = m.limit(broadcast_rows + 1).count() <= broadcast_rows
+    right = F.broadcast(m) if small else m
+    joined = lines.join(right, lines[raw_col] == right["_code"], "left")
+    return joined.withColumn(raw_col, F.coalesce(F.col("_sku"), F.col(raw_col))).drop("_code", "_sku")
+
+
 def unify(*frames: DataFrame) -> DataFrame:
     """UNION ALL of canonical frames by name (types are already identical)."""
     out = None

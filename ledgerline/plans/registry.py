@@ -357,3 +357,131 @@ def q_stream(spark, sf):
         src = stream.vendor_c_stream(spark, f"{root}/landing/*/", max_files=100000)
         stream.run_available(src, handler, f"{root}/checkpoint")
     return tables.read(spark, f"{root}/gold")
+
+
+# --- Maintenance, quality, lookups, inspection -------------------------------
+
+
+def _published_silver(spark, sf, name: str, **kw) -> tuple[str, "DataFrame"]:
+    from ledgerline.plans import tables
+    from ledgerline.session import scratch_path
+    root = scratch_path(spark, name)
+    tables.publish(S.test_marked(spark, sf), root, **kw)
+    return root, tables.read(spark, root)
+
+
+@register("table_health")
+def q_health(spark, sf):
+    """File count / size / partition columns / verdicts of a published Silver version."""
+    from ledgerline.operators import maintenance
+    from ledgerline.plans import tables
+    root, _ = _published_silver(spark, sf, "health", files=16)
+    return maintenance.table_health(spark, tables.version_path(root, tables.latest_version(spark, root)))
+
+
+@register("compact_report")
+def q_compact(spark, sf):
+    """Silver published as many small files, then compacted into right-sized files."""
+    from ledgerline.operators import maintenance
+    root, _ = _published_silver(spark, sf, "compact", files=64)
+    return maintenance.compact(spark, root, target_bytes=128 * 1024 * 1024)
+
+
+@register("zorder_cluster", _sql(f"SELECT {_LINE_SQL}, _is_duplicate FROM marked"))
+def q_zorder(spark, sf):
+    """Z-order compaction on (order_timestamp, country_code, source_vendor): same rows."""
+    from ledgerline.operators import maintenance
+    from ledgerline.plans import tables
+    root, _ = _published_silver(spark, sf, "zorder", files=32)
+    maintenance.compact(spark, root, target_bytes=1024 * 1024,
+                        zorder_by=["order_timestamp", "country_code", "source_vendor"])
+    return tables.read(spark, root).select(*LINE_COLUMNS, "_is_duplicate")
+
+
+@register("expired_files")
+def q_expired(spark, sf):
+    """After a compaction, the superseded version's files are vacuum candidates."""
+    from ledgerline.operators import maintenance
+    root, _ = _published_silver(spark, sf, "vacuum", files=8)
+    maintenance.compact(spark, root)
+    return maintenance.expired_files(spark, root, retention_hours=0)
+
+
+@register("line_quality", _sql(
+    "SELECT source_vendor, COUNT(*) AS lines, "
+    "COUNT(CASE WHEN order_timestamp IS NULL THEN 1 END) AS null_order_timestamp, "
+    "COUNT(CASE WHEN total_amount_usd IS NULL THEN 1 END) AS null_total_amount, "
+    "COUNT(CASE WHEN product_sku IS NULL THEN 1 END) AS null_product_sku, "
+    "COUNT(CASE WHEN customer_email IS NULL THEN 1 END) AS null_customer_email, "
+    "COUNT(CASE WHEN source_currency IS NULL OR upper(source_currency) NOT IN ('USD','EUR','JPY','KRW') "
+    "THEN 1 END) AS unknown_currency, "
+    "COUNT(CASE WHEN total_amount_usd < 0 THEN 1 END) AS negative_amount FROM lines GROUP BY ALL"))
+def q_quality(spark, sf):
+    from ledgerline.operators import quality
+    return quality.line_quality(S.test_unified(spark, sf))
+
+
+@register("json_parse_failures", _sql(
+    "SELECT COUNT(*) AS rows, 0 AS unparsed_line_items FROM lines WHERE source_vendor = 'vendor_c'"))
+def q_json_fail(spark, sf):
+    from ledgerline.operators import quality
+    from ledgerline.sources import testdata
+    return quality.json_parse_failures(testdata.vendor_c_feed(testdata.order_facts(spark, sf)))
+
+
+@register("sku_lookup_join", _vendor_lines_sql("vendor_b"))
+def q_sku_lookup(spark, sf):
+    """Vendor B sends short product codes; the canonical SKU comes from the product
+    master (``part``) through a lookup join: broadcast only if its size is checked
+    small, otherwise a shuffle join; unmapped codes pass through."""
+    from ledgerline.operators import normalize
+    from ledgerline.sources import testdata
+    feed = (testdata.vendor_b_feed(testdata.order_facts(spark, sf))
+            .withColumn("product_code", F.regexp_replace("product_code", "^SKU-", "P")))
+    part = testdata.table(spark, sf, "part")
+    sku_map = part.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("code"),
+                          F.concat(F.lit("SKU-"), F.col("p_partkey").cast("string")).alias("sku"))
+    lines = normalize.vendor_b(feed, sku_map={})
+    return normalize.map_sku(lines, sku_map, raw_col="product_sku").select(*LINE_COLUMNS)
+
+
+@register("dedup_order_level", _sql(
+    "SELECT " + _LINE_SQL + " FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY "
+    "CASE payment_status WHEN 'settled' THEN 1 WHEN 'completed' THEN 2 ELSE 3 END ASC, "
+    "_ingestion_timestamp DESC NULLS LAST, product_sku ASC NULLS FIRST, quantity ASC NULLS FIRST, "
+    "total_amount_usd ASC NULLS FIRST, _source_file ASC NULLS FIRST) AS rn FROM lines) WHERE rn = 1"))
+def q_dedup_order(spark, sf):
+    """Documented variant: one row per order id, settled > completed > anything else,
+    then the most recent update (arrival)."""
+    from ledgerline.functions.columns import status_priority
+    lines = S.test_unified(spark, sf)
+    order = [(status_priority("payment_status", default=3), "asc"), ("_ingestion_timestamp", "desc"),
+             ("product_sku", "asc"), ("quantity", "asc"), ("total_amount_usd", "asc"),
+             ("_source_file", "asc"), ("_source_row", "asc")]
+    return dedup.keep_best(lines, keys=["order_id"], order=order).select(*LINE_COLUMNS)
+
+
+@register("bronze_preview")
+def q_preview(spark, sf):
+    """``SELECT * ... LIMIT 10`` inspection of a Bronze feed (the limit is the feature)."""
+    from ledgerline.sources import testdata
+    return testdata.vendor_a_feed(testdata.order_facts(spark, sf)).limit(10)
+
+
+@register("schema_report")
+def q_schema(spark, sf):
+    """Column, type and nullability of the unified Silver lines (``printSchema`` as rows)."""
+    from ledgerline.operators.inspect import schema_report
+    return schema_report(S.test_unified(spark, sf))
+
+
+@register("silver_partitioned_by_date", _sql(O.revenue_sql(["source_vendor", "order_date"])))
+def q_partitioned(spark, sf):
+    """Silver published with a date-only partition layout, read back through partition
+    discovery; Gold computed from it."""
+    from ledgerline.plans import tables
+    from ledgerline.session import scratch_path
+    root = scratch_path(spark, "by_date")
+    silver = dedup.keep_best(S.test_unified(spark, sf)).withColumn("order_date", F.to_date("order_timestamp"))
+    tables.publish(silver, root, partition_by=["order_date"], files=8)
+    return gold.daily_revenue_by_vendor(tables.read(spark, root).drop("order_date"), audit=False)
