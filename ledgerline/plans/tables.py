@@ -21,7 +21,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, via Hadoop's FileSystem API (any Hadoop-compatible store)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM gateway (e.g. a remote client): let the reader decide
+        return True
+
+
 def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+    if not path_exists(spark, f"{root.rstrip('/')}/commits"):
+        return None
     try:
         return spark.read.schema("version long, rows long, committed_at double, note string") \
             .json(f"{root.rstrip('/')}/commits")
