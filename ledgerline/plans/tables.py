@@ -1,7 +1,8 @@
 """Snapshot tables on plain Parquet (no table format needed).
 
 A table is a directory ``<root>/v=<n>/`` per published version plus a commit log
-``<root>/commits/`` with one small JSON record per version.  A version becomes
+``<root>/commits/v=<n>/`` with one small JSON record per version (written by Spark,
+so it carries Spark's ``_SUCCESS`` marker once complete).  A version becomes
 visible only after its data job has finished and its commit record is written, so
 a job that dies half-way (lost executors, killed driver) leaves an invisible
 directory, never a half-visible table.  Readers take the highest committed version.
@@ -31,17 +32,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return True
 
 
+def _fs_committed_versions(spark: SparkSession, root: str) -> list[int] | None:
+    """Committed version numbers from a directory listing (no Spark job); None if the
+    FileSystem API is unavailable."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/commits")
+        fs = base.getFileSystem(conf)
+        if not fs.exists(base):
+            return []
+        out = []
+        for st in fs.listStatus(base):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v=") and \
+                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[2:]))
+        return sorted(out)
+    except Exception:
+        return None
+
+
 def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     if not path_exists(spark, f"{root.rstrip('/')}/commits"):
         return None
     try:
         return spark.read.schema("version long, rows long, committed_at double, note string") \
-            .json(f"{root.rstrip('/')}/commits")
+            .json(f"{root.rstrip('/')}/commits/*")
     except AnalysisException:
         return None
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
+    listed = _fs_committed_versions(spark, root)
+    if listed is not None:
+        return listed[-1] if listed else None
     c = _commits(spark, root)
     if c is None:
         return None
@@ -105,5 +130,5 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
     rows = int(obs.get.get("rows", 0))
     commit = spark.createDataFrame([(version, rows, time.time(), note)],
                                    "version long, rows long, committed_at double, note string")
-    commit.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/commits")
+    commit.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/commits/v={version:06d}")
     return version
