@@ -8,8 +8,8 @@ Here every data line is parsed with the header of its own file:
 1. read the files as text lines with their file path;
 2. header lines are the lines that start with the layout's key column name;
    only the *distinct* header lines go to the driver (a handful of layouts);
-3. each line is joined to its file's header (AQE broadcasts that small file->header
-   map once it has measured it, otherwise it is a shuffle join);
+3. each line is joined to its file's header; the file->header map (one row per file)
+   is broadcast when a bounded count shows it is small, else shuffle-joined;
 4. lines of each layout are parsed with ``from_csv`` and that layout's all-text
    schema, and the layouts are unioned by column name.
 
@@ -24,7 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import bounded_broadcast
 from ledgerline.schemas import text_schema
+from ledgerline.session import ensure_checkpoint_dir
 
 
 def _csv_options(sep: str, quote: str | None, escape: str | None) -> dict:
@@ -51,10 +53,14 @@ def read_vendor(spark: SparkSession, path: str, vendor: str, key_col: str, sep:
     is_header = F.col("value").startswith(key_col + sep) | (F.col("value") == key_col)
     if quote:
         is_header = is_header | F.col("value").startswith(f"{quote}{key_col}{quote}{sep}")
-    headers = lines.filter(is_header).select("_source_file", F.col("value").alias("_header")).distinct()
+    # file -> header map: one row per file, materialised once in the shared checkpoint
+    # folder so the landing files are scanned twice in total (headers, then data)
+    ensure_checkpoint_dir(spark)
+    headers = (lines.filter(is_header).select("_source_file", F.col("value").alias("_header"))
+               .distinct().checkpoint(eager=True))
     layouts = [r["_header"] for r in headers.select("_header").distinct().collect()]
     data = (lines.filter(~is_header & (F.length(F.trim("value")) > 0))
-            .join(headers, "_source_file"))
+            .join(bounded_broadcast(headers), "_source_file"))
     opts = _csv_options(sep, quote, escape)
     out = None
     for header in sorted(layouts):
@@ -99,7 +105,7 @@ def only_new(incoming: DataFrame, loaded: DataFrame, on: Sequence[str] = ("_sour
     A left anti join; only the distinct keys of ``loaded`` are shuffled.
     """
     keys = list(on)
-    return incoming.join(loaded.select(*keys).distinct(), keys, "left_anti")
+    return incoming.join(bounded_broadcast(loaded.select(*keys).distinct()), keys, "left_anti")
 
 
 def write_vendor_files(df: DataFrame, path: str, columns: Sequence[str], sep: str = ",",
