@@ -21,3 +21,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def small_keys(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a (small) key set once in the shared checkpoint folder, then hint it
+    as broadcast if its size check passes - so neither the check nor the joins that use
+    it recompute its lineage."""
+    from ledgerline.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return bounded_broadcast(df.checkpoint(eager=True), max_rows)

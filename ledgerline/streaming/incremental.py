@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup, gold, merge
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import small_keys
 from ledgerline.schemas import ORDER_KEYS
 from ledgerline.sources.files import only_new
 
@@ -38,7 +38,7 @@ def apply_batch(marked: DataFrame | None, batch: DataFrame,
         return dedup.mark_duplicates(batch, keys), batch.select(*keys).distinct()
     batch = only_new(batch, marked)
     # per-batch key set: broadcast when proven small, so Silver is scanned, not shuffled
-    touched = bounded_broadcast(batch.select(*keys).distinct())
+    touched = small_keys(batch.select(*keys).distinct())
     plain = marked.drop(*dedup.FLAG_COLUMNS)
     # NULL-key lines never match a touched key (they are never duplicates anyway)
     affected = plain.join(touched, keys, "left_semi")
@@ -56,21 +56,22 @@ def refresh_gold(gold_old: DataFrame, old_marked: DataFrame | None, new_marked:
                  touched: DataFrame, dims: Sequence[str], build, keys: Sequence[str] = ORDER_KEYS) -> DataFrame:
     """Gold after the batch: touched Gold keys recomputed from ``new_marked``."""
     keys, dims = list(keys), list(dims)
-    touched = bounded_broadcast(touched)
     new_w = _with_dims(dedup.keep_best(new_marked).join(touched, keys, "left_semi"), dims)
     touched_gold = new_w.select(*dims)
     if old_marked is not None:
         old_w = _with_dims(dedup.keep_best(old_marked).join(touched, keys, "left_semi"), dims)
         touched_gold = touched_gold.unionByName(old_w.select(*dims))
-    touched_gold = bounded_broadcast(touched_gold.distinct())
+    touched_gold = small_keys(touched_gold.distinct()
+                              .select(*[F.col(d).alias(f"_tg_{d}") for d in dims]))
     silver = _with_dims(dedup.keep_best(new_marked), dims)
     on = None
     for d in dims:
-        c = silver[d].eqNullSafe(touched_gold[d])
+        c = F.col(d).eqNullSafe(F.col(f"_tg_{d}"))
         on = c if on is None else on & c
     affected_lines = silver.join(touched_gold, on, "left_semi")
     base_cols = [c for c in new_marked.columns if c not in dedup.FLAG_COLUMNS]
     recomputed = build(affected_lines.select(*base_cols))
+    touched_gold = touched_gold.select(*[F.col(f"_tg_{d}").alias(d) for d in dims])
     return merge.replace_keys(gold_old, recomputed, touched_gold, dims)
 
 
