@@ -63,8 +63,7 @@ def main() -> None:
 
     def land():
         a, b, c = testdata.vendor_feeds(spark, sf_dir)
-        for name, df in (("vendor_a", a), ("vendor_b", b), ("vendor_c", c)):
-            tables.publish(df, f"{root}/bronze/{name}", note=name)
+        S.land_bronze({"vendor_a": a, "vendor_b": b, "vendor_c": c}, f"{root}/bronze")
     timed("bronze_land", land)
 
     def build_silver():

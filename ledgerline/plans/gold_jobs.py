@@ -45,5 +45,11 @@ def refresh(spec: GoldTable, marked_silver: DataFrame, root: str) -> int:
     return tables.publish(merge.upsert(current, fresh, spec.keys), path, note=spec.name)
 
 
-def refresh_all(marked_silver: DataFrame, root: str) -> dict[str, int]:
-    return {spec.name: refresh(spec, marked_silver, root) for spec in GOLD_TABLES}
+def refresh_all(marked_silver: DataFrame, root: str, parallel: int = 4) -> dict[str, int]:
+    """Refresh every Gold table; the seven jobs are independent, so up to ``parallel``
+    of them are submitted at once (Spark runs jobs from several driver threads
+    concurrently; each table's publish stays atomic on its own)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {spec.name: pool.submit(refresh, spec, marked_silver, root) for spec in GOLD_TABLES}
+        return {name: f.result() for name, f in futures.items()}

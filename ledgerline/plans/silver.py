@@ -5,9 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import dedup, normalize
+from ledgerline.plans import tables
 from ledgerline.sources import testdata
 
 
+def land_bronze(frames: dict[str, DataFrame], root: str, parallel: int = 3) -> dict[str, int]:
+    """Publish each vendor's Bronze frame as its own snapshot table ``<root>/<vendor>``.
+
+    The landings are independent jobs, submitted concurrently from the driver.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {v: pool.submit(tables.publish, df, f"{root.rstrip('/')}/{v}", note=v)
+                   for v, df in frames.items()}
+        return {v: f.result() for v, f in futures.items()}
+
+
 def unified(bronze_a: DataFrame, bronze_b: DataFrame, bronze_c: DataFrame) -> DataFrame:
     """Normalise the three vendor Bronze frames and UNION ALL them (no dedup yet)."""
     return normalize.unify(normalize.vendor_a(bronze_a), normalize.vendor_b(bronze_b),
