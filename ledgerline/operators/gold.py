@@ -35,6 +35,21 @@ def _ratio(num: str, den: str) -> Column:
     return F.round(F.try_divide(F.col(num), F.col(den).cast("decimal(20,0)")), 2).cast(MONEY)
 
 
+def in_period(silver: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Lines with ``start <= order_timestamp < end`` (dates or timestamps as text).
+
+    A plain column comparison, so it is pushed into the Parquet scan: files and row
+    groups whose min/max lie outside the period are skipped (see ``maintenance.compact``
+    for clustering the table so that such skipping is effective).
+    """
+    ts = F.col("order_timestamp")
+    if start is not None:
+        silver = silver.filter(ts >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        silver = silver.filter(ts < F.lit(end).cast("timestamp"))
+    return silver
+
+
 def _with_status(df: DataFrame, statuses: Iterable[str] | None) -> DataFrame:
     if statuses is None:
         return df
