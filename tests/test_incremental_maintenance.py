@@ -109,3 +109,17 @@ def test_promo_filter_pushed_to_parquet(spark, tmp_dir):
                           "loyalty_points int, order_id string").write.parquet(path)
     plan = gold.promo_analysis(spark.read.parquet(path), audit=False)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(promo_code)]" in plan
+
+
+def test_watermark_control_table(spark, tmp_dir):
+    from ledgerline.streaming import watermark
+    root = f"{tmp_dir}/control"
+    assert watermark.read(spark, root, "p") is None
+    lines = spark.createDataFrame([(datetime(2024, 1, d),) for d in (1, 2, 3, 4)], "_ingestion_timestamp timestamp")
+    first = watermark.pending(lines, None, "2024-01-02")
+    assert first.count() == 2
+    watermark.advance(spark, root, "p", datetime(2024, 1, 2))
+    watermark.advance(spark, root, "other", datetime(2030, 1, 1))
+    mark = watermark.read(spark, root, "p")
+    assert mark == datetime(2024, 1, 2)
+    assert watermark.pending(lines, mark).count() == 2
