@@ -75,8 +75,8 @@ def main() -> None:
 
     def build_silver():
         a, b, c = (tables.read(spark, f"{root}/bronze/{v}") for v in ("vendor_a", "vendor_b", "vendor_c"))
-        tables.publish(S.marked(a, b, c), f"{root}/silver_marked", note="silver_marked")
-    timed("silver_build", build_silver)
+        return S.publish_silver(a, b, c, f"{root}/silver_marked")
+    census = timed("silver_build", build_silver)
 
     def optimize():
         # files of ~1/(2*cpus) of the table here; 128 MB+ on a cluster
@@ -112,7 +112,8 @@ def main() -> None:
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "medallion_total", "value": round(sum(q.values()), 3), "unit": "sec",
-                      "queries": q, "sf": sf, "cpus": cpus}))
+                      "queries": q, "sf": sf, "cpus": cpus,
+                      "silver_rows": census["rows"], "silver_duplicates": census["duplicates"]}))
     spark.stop()
 
 

@@ -1,5 +1,5 @@
 """Column-level helpers (all JVM-side expressions, no Python UDFs)."""
 
 from ledgerline.functions.columns import (  # noqa: F401
-    lookup, map_values, parse_ts, rank_key, status_priority, to_usd, with_missing, with_money,
+    lookup, map_values, parse_ts, sort_columns, status_priority, to_usd, with_missing, with_money,
 )

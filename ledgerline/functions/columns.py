@@ -123,38 +123,3 @@ def sort_columns(specs: Sequence[OrderSpec | ColumnLike]) -> list[Column]:
         col = _col(c)
         out.append(col.desc_nulls_last() if direction.lower() == "desc" else col.asc_nulls_first())
     return out
-
-
-def rank_key(df: DataFrame, specs: Sequence[OrderSpec | ColumnLike]) -> Column:
-    """A struct whose ascending order equals the ORDER BY described by ``specs``.
-
-    Each spec is a column or ``(column, "asc"|"desc")``.  Null placement follows SQL
-    defaults (ASC NULLS FIRST, DESC NULLS LAST).  DESC is supported for numeric,
-    date and timestamp columns (by negation).  ``min(rank_key)`` per group therefore
-    picks the row a ``row_number() OVER (ORDER BY ...)`` would number 1 - but as a
-    plain aggregate it is combined map-side, so a hot group never lands in one task.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = []
-    for i, spec in enumerate(specs):
-        c, direction = (spec if isinstance(spec, tuple) else (spec, "asc"))
-        col = _col(c)
-        desc = direction.lower() == "desc"
-        nulls_first = not desc
-        null_flag = F.when(col.isNull(), F.lit(0 if nulls_first else 1)).otherwise(F.lit(1 if nulls_first else 0))
-        if desc:
-            dtype = types.get(c) if isinstance(c, str) else None
-            if isinstance(dtype, T.TimestampType):
-                value = -F.unix_micros(col)
-            elif isinstance(dtype, T.TimestampNTZType):
-                value = -F.unix_micros(col.cast("timestamp"))
-            elif isinstance(dtype, T.DateType):
-                value = -F.unix_date(col)
-            elif isinstance(dtype, (T.NumericType,)) or dtype is None:
-                value = -col
-            else:
-                raise ValueError(f"descending order not supported for {c}: {dtype}")
-        else:
-            value = col
-        fields += [null_flag.alias(f"n{i}"), value.alias(f"v{i}")]
-    return F.struct(*fields)

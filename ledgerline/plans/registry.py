@@ -473,8 +473,9 @@ def q_dedup_order(spark, sf):
 @register("bronze_preview")
 def q_preview(spark, sf):
     """``SELECT * ... LIMIT 10`` inspection of a Bronze feed (the limit is the feature)."""
+    from ledgerline.operators.inspect import preview
     from ledgerline.sources import testdata
-    return testdata.vendor_a_feed(testdata.order_facts(spark, sf)).limit(10)
+    return preview(testdata.vendor_a_feed(testdata.order_facts(spark, sf)), 10)
 
 
 @register("schema_report")

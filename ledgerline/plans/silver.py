@@ -32,6 +32,17 @@ def marked(bronze_a: DataFrame, bronze_b: DataFrame, bronze_c: DataFrame) -> Dat
     return dedup.mark_duplicates(unified(bronze_a, bronze_b, bronze_c))
 
 
+def publish_silver(bronze_a: DataFrame, bronze_b: DataFrame, bronze_c: DataFrame, root: str,
+                   **publish_kw) -> dict:
+    """Build and publish the marked Silver table; the row count and duplicate census
+    come from the write job itself (observed metrics), not from extra passes."""
+    from ledgerline.operators.inspect import observed
+    df, obs = observed(marked(bronze_a, bronze_b, bronze_c), "silver")
+    version = tables.publish(df, root, note="silver_marked", **publish_kw)
+    metrics = obs.get
+    return {"version": version, "rows": metrics.get("rows"), "duplicates": metrics.get("duplicates")}
+
+
 def silver(bronze_a: DataFrame, bronze_b: DataFrame, bronze_c: DataFrame) -> DataFrame:
     """One winning line per (order_id, line_number)."""
     return dedup.keep_best(unified(bronze_a, bronze_b, bronze_c))
