@@ -50,23 +50,27 @@ def with_money(df: DataFrame, targets: Mapping[str, ColumnLike], dtype: T.Decima
     ``$5`` -> 5.00, ``-3,5`` -> -3.50, ``1.234`` -> 1234; text without digits -> NULL.
     Numbers rendered in scientific notation (``1.0E7``, numeric sources) cast directly.
 
-    Staged as three projections so the regex work runs once per value (Spark does
+    Two regex passes per value: strip everything but digits, separators and sign,
+    then rewrite the whole text as ``<sign><integer part>|<fraction>``; the rest is
+    cheap string functions.  Staged as projections so no pass runs twice (Spark does
     not re-inline a non-trivial expression that is referenced more than once).
     """
     stage1, stage2, final, temps = {}, {}, {}, []
     for out, src in targets.items():
-        raw, clean, ip, fp = (f"__{out}_raw", f"__{out}_clean", f"__{out}_int", f"__{out}_frac")
-        temps += [raw, clean, ip, fp]
+        raw, parts, ip, fp = (f"__{out}_raw", f"__{out}_parts", f"__{out}_int", f"__{out}_frac")
+        temps += [raw, parts, ip, fp]
         stage1[raw] = _col(src).cast("string")
-        stage1[clean] = F.regexp_replace(_col(src).cast("string"), r"[^0-9.,\-]", "")
-        stage2[ip] = F.translate(F.regexp_extract(F.col(clean), _MONEY_PARTS, 2), ".,", "")
-        stage2[fp] = F.regexp_extract(F.col(clean), _MONEY_PARTS, 3)
+        stage1[parts] = F.regexp_replace(F.regexp_replace(_col(src).cast("string"), r"[^0-9.,\-]", ""),
+                                         _MONEY_PARTS, "$1$2|$3")
+        matched = F.col(parts).contains("|")
+        stage2[ip] = F.when(matched, F.translate(F.substring_index(F.col(parts), "|", 1), ".,", ""))
+        stage2[fp] = F.when(matched, F.substring_index(F.col(parts), "|", -1))
+        int_part = F.translate(F.col(ip), "-", "")
         text = F.concat(
-            F.when(F.col(clean).startswith("-"), F.lit("-")).otherwise(F.lit("")),
-            F.when(F.col(ip) == "", F.lit("0")).otherwise(F.col(ip)), F.lit("."),
+            F.when(F.col(ip).startswith("-"), F.lit("-")).otherwise(F.lit("")),
+            F.when(int_part == "", F.lit("0")).otherwise(int_part), F.lit("."),
             F.when(F.col(fp) == "", F.lit("0")).otherwise(F.col(fp)))
-        parsed = F.when(F.col(clean).rlike(_MONEY_PARTS) & ((F.col(ip) != "") | (F.col(fp) != "")),
-                        text.try_cast(dtype))
+        parsed = F.when((int_part != "") | (F.col(fp) != ""), text.try_cast(dtype))
         final[out] = F.when(F.upper(F.col(raw)).contains("E"), F.col(raw).try_cast(dtype)).otherwise(parsed)
     return df.withColumns(stage1).withColumns(stage2).withColumns(final).drop(*temps)
 

@@ -29,6 +29,8 @@ DEFAULT_CONF = {
     # join to broadcast once it has measured the materialised side below this size.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # reliable checkpoints of small key sets are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
