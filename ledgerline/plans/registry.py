@@ -495,3 +495,74 @@ def q_partitioned(spark, sf):
     silver = dedup.keep_best(S.test_unified(spark, sf)).withColumn("order_date", F.to_date("order_timestamp"))
     tables.publish(silver, root, partition_by=["order_date"], files=8)
     return gold.daily_revenue_by_vendor(tables.read(spark, root).drop("order_date"), audit=False)
+
+
+# --- Per-vendor normalisers, FX and payment mapping, Gold create-or-merge --------
+
+
+def _feed_lines(spark, sf, vendor: str):
+    from ledgerline.operators import normalize
+    from ledgerline.sources import testdata
+    facts = testdata.order_facts(spark, sf)
+    if vendor == "vendor_a":
+        return normalize.vendor_a(testdata.vendor_a_feed(facts))
+    if vendor == "vendor_b":
+        return normalize.vendor_b(testdata.vendor_b_feed(facts))
+    return normalize.vendor_c(testdata.vendor_c_feed(facts))
+
+
+@register("normalize_vendor_a", _vendor_lines_sql("vendor_a"))
+def q_norm_a(spark, sf):
+    """US feed text (MM/dd/yyyy, USD, day-30 layout with promotions) -> canonical lines."""
+    return _feed_lines(spark, sf, "vendor_a").select(*LINE_COLUMNS)
+
+
+@register("normalize_vendor_b", _vendor_lines_sql("vendor_b"))
+def q_norm_b(spark, sf):
+    """EU feed text (dd-MM-yyyy, '€1.234,50' amounts, VAT) -> canonical USD lines."""
+    return _feed_lines(spark, sf, "vendor_b").select(*LINE_COLUMNS)
+
+
+@register("normalize_vendor_c", _vendor_lines_sql("vendor_c"))
+def q_norm_c(spark, sf):
+    """Asian feed (ISO timestamps, JSON customer / items / payment, JPY / KRW) -> canonical lines."""
+    return _feed_lines(spark, sf, "vendor_c").select(*LINE_COLUMNS)
+
+
+@register("fx_convert", _sql(
+    "SELECT source_vendor, source_currency, exchange_rate, COUNT(*) AS lines, "
+    "CAST(SUM(total_amount_usd) AS DECIMAL(18,2)) AS total_amount_usd, "
+    "CAST(SUM(unit_price_usd) AS DECIMAL(18,2)) AS unit_price_usd, "
+    "CAST(SUM(vat_amount_usd) AS DECIMAL(18,2)) AS vat_amount_usd FROM lines GROUP BY ALL"))
+def q_fx(spark, sf):
+    """USD conversion per vendor and currency (USD 1, EUR 0.92, JPY 150, KRW 1320)."""
+    return (S.test_unified(spark, sf)
+            .groupBy("source_vendor", "source_currency", "exchange_rate")
+            .agg(F.count(F.lit(1)).alias("lines"),
+                 F.sum("total_amount_usd").cast("decimal(18,2)").alias("total_amount_usd"),
+                 F.sum("unit_price_usd").cast("decimal(18,2)").alias("unit_price_usd"),
+                 F.sum("vat_amount_usd").cast("decimal(18,2)").alias("vat_amount_usd")))
+
+
+@register("payment_map", _sql(
+    "SELECT source_vendor, payment_method, COUNT(*) AS lines FROM lines GROUP BY ALL"))
+def q_payment(spark, sf):
+    """Payment methods after clean-up (google_pay/apple_pay -> mobile_wallet, carte_bancaire -> bank_card)."""
+    return S.test_unified(spark, sf).groupBy("source_vendor", "payment_method").agg(
+        F.count(F.lit(1)).alias("lines"))
+
+
+@register("gold_create_or_merge", _sql(O.upsert_sql(
+    O.revenue_sql(_REV_KEYS, source="silver_early"), O.revenue_sql(_REV_KEYS), _REV_KEYS, _REV_COLS)))
+def q_gold_refresh(spark, sf):
+    """The Gold refresh job run twice: the first run creates every Gold table from the
+    early Silver, the second merges a full rebuild into them (all measures updated,
+    NULL-safe keys, top-10 replaced).  Daily revenue by vendor is returned."""
+    from ledgerline.plans import gold_jobs, tables
+    from ledgerline.session import scratch_path
+    root = scratch_path(spark, "gold")
+    lines = S.test_unified(spark, sf)
+    early = lines.filter(F.col("_ingestion_timestamp") < F.lit(_EARLY_TS).cast("timestamp"))
+    gold_jobs.refresh_all(dedup.mark_duplicates(early), root)
+    gold_jobs.refresh_all(dedup.mark_duplicates(lines), root)
+    return tables.read(spark, f"{root}/daily_revenue_by_vendor").drop("_updated_at")
