@@ -229,7 +229,7 @@ def q_ingest(spark, sf):
     cols = VENDOR_B_COLUMNS + ["payment_status"]
     early = F.col("_ingestion_timestamp") < F.lit("1998-01-01").cast("timestamp")
     files.write_vendor_files(feed.filter(early), f"{land}/batch=1", cols, sep="|")
-    bronze = _landing(spark, "bronze_vendor_b")
+    bronze = _landing(spark, "bronze_b")
     tables.publish(files.read_vendor_b(spark, f"{land}/*/*.csv"), bronze)          # run 1
     files.write_vendor_files(feed.filter(~early), f"{land}/batch=2", cols, sep="|")
     loaded = tables.read(spark, bronze)
