@@ -6,6 +6,9 @@ and prints ONE JSON line.  Steps, in the order the reference pipeline runs them:
 * ``bronze_land``  - derive the three vendor feeds from the test tables and land them
                      as Bronze snapshot tables (raw text columns + lineage)
 * ``silver_build`` - normalise, union, mark duplicates; publish ``silver_marked``
+* ``mark_duplicates_uniform_keys`` / ``mark_duplicates_one_hot_key`` - duplicate
+                     marking over the stored lines, and again with ~60% of all rows
+                     re-keyed to a single order line (the skew-safety check)
 * ``silver_optimize`` - Z-order compaction on (source_vendor, order_timestamp), the
                      clustering the original pipeline applies before its dashboards
 * ``daily_revenue_by_vendor_90d`` - the headline dashboard query: the last 90 days,
@@ -78,6 +81,13 @@ def main() -> None:
         return S.publish_silver(a, b, c, f"{root}/silver_marked")
     census = timed("silver_build", build_silver)
 
+    # skew check: every vendor B line re-keyed to ONE order id (~60% of all rows)
+    lines = tables.read(spark, f"{root}/silver_marked").drop(*dedup.FLAG_COLUMNS)
+    hot = lines.withColumn("order_id", F.when(F.col("source_vendor") == "vendor_b", F.lit("HOT"))
+                           .otherwise(F.col("order_id")))
+    timed("mark_duplicates_uniform_keys", lambda: _run(dedup.mark_duplicates(lines)))
+    timed("mark_duplicates_one_hot_key", lambda: _run(dedup.mark_duplicates(hot)))
+
     def optimize():
         # files of ~1/(2*cpus) of the table here; 128 MB+ on a cluster
         size = tables.latest_commit(spark, f"{root}/silver_marked")
