@@ -17,6 +17,8 @@ of the job.  Here:
   columns, row identity), then left-joins all rows to them on key *plus* row
   identity.  The join key includes the identity, so a hot order key's rows hash to
   many partitions; no task ever holds a whole group.
+* Rows with a NULL key part are never duplicates; they ride in the same plan as
+  groups of one (no second branch, so the input is computed once).
 """
 
 from __future__ import annotations
@@ -44,12 +46,25 @@ def business_order(df: DataFrame) -> list[OrderSpec]:
     return order
 
 
-def _split_null_keys(df: DataFrame, keys: Sequence[str]):
-    """Rows with a NULL key part identify no order, so they are never copies of each other."""
-    has_null = None
+def _any_null(keys: Sequence[str]):
+    cond = None
     for k in keys:
-        has_null = F.col(k).isNull() if has_null is None else (has_null | F.col(k).isNull())
-    return df.filter(~has_null), df.filter(has_null)
+        cond = F.col(k).isNull() if cond is None else (cond | F.col(k).isNull())
+    return cond
+
+
+def _groups(keys: Sequence[str], identity: Sequence[str]) -> list:
+    """Window partition columns: the keys, plus - only for a row with a NULL key part -
+    the row's own identity.  Such a row identifies no order, so it forms a group of
+    one (never a duplicate), and NULL-key rows cannot pile up as one hot group."""
+    return [F.col(k) for k in keys] + [F.when(_any_null(keys), F.struct(*identity)).alias("_solo")]
+
+
+def _identity(df: DataFrame, identity: Sequence[str]) -> list[str]:
+    ids = [c for c in identity if c in df.columns]
+    if not ids:
+        raise ValueError("dedup needs row identity columns, e.g. _source_file/_source_row")
+    return ids
 
 
 def mark_duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
@@ -63,30 +78,25 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
     """
     keys = list(keys)
     order = list(order) if order is not None else business_order(df)
-    identity = [c for c in identity if c in df.columns]
-    if not identity:
-        raise ValueError("mark_duplicates needs row identity columns, e.g. _source_file/_source_row")
+    identity = _identity(df, identity)
     cols = df.columns
-    keyed, nullkeyed = _split_null_keys(df, keys)
-    w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
-    winners = (keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    w = Window.partitionBy(*_groups(keys, identity)).orderBy(*sort_columns(order))
+    winners = (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
                .select(*[F.col(c).alias(f"_w{c}") for c in keys + identity], F.lit(True).alias("_won")))
     on = None
     for c in keys + identity:
-        cond = keyed[c].eqNullSafe(winners[f"_w{c}"]) if c in identity else keyed[c] == winners[f"_w{c}"]
+        cond = df[c].eqNullSafe(winners[f"_w{c}"])
         on = cond if on is None else (on & cond)
-    joined = keyed.join(winners, on, "left")
+    joined = df.join(winners, on, "left")
     dup = F.col("_won").isNull()
     # a row can only lose to another copy, so every duplicate has at least two copies
-    marked = joined.select(*cols, dup.alias("_is_duplicate"),
-                           F.when(dup, F.lit(DUPLICATE_REASON)).alias("_duplicate_reason"))
-    singles = nullkeyed.select(*cols, F.lit(False).alias("_is_duplicate"),
-                               F.lit(None).cast("string").alias("_duplicate_reason"))
-    return marked.unionByName(singles)
+    return joined.select(*cols, dup.alias("_is_duplicate"),
+                         F.when(dup, F.lit(DUPLICATE_REASON)).alias("_duplicate_reason"))
 
 
 def keep_best(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
-              order: Sequence[OrderSpec] | None = None) -> DataFrame:
+              order: Sequence[OrderSpec] | None = None,
+              identity: Sequence[str] = IDENTITY) -> DataFrame:
     """One row per key: the winner ``mark_duplicates`` would keep.
 
     Written as ``row_number() ... = 1`` over the total rank order.  Spark plans this
@@ -100,10 +110,8 @@ def keep_best(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
         return df.filter(~F.col("_is_duplicate"))
     keys = list(keys)
     order = list(order) if order is not None else business_order(df)
-    keyed, nullkeyed = _split_null_keys(df, keys)
-    w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
-    winners = keyed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-    return winners.unionByName(nullkeyed)
+    w = Window.partitionBy(*_groups(keys, _identity(df, identity))).orderBy(*sort_columns(order))
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def duplicate_census(marked: DataFrame) -> DataFrame:
