@@ -566,3 +566,25 @@ def q_gold_refresh(spark, sf):
     gold_jobs.refresh_all(dedup.mark_duplicates(early), root)
     gold_jobs.refresh_all(dedup.mark_duplicates(lines), root)
     return tables.read(spark, f"{root}/daily_revenue_by_vendor").drop("_updated_at")
+
+
+@register("incremental_append_only", _sql(O.revenue_sql(["source_vendor", "order_date"])))
+def q_incremental_append(spark, sf):
+    """Append-only Silver (one immutable partition per batch, duplicates resolved on
+    read) with Gold refreshed from the affected lines only; batch 2 is replayed with
+    its id (idempotent).  Final Gold == full rebuild."""
+    from ledgerline.plans import tables
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import appendonly
+    from ledgerline.streaming.incremental import arrival_batches
+    root = scratch_path(spark, "append_only")
+    tables.publish(S.test_unified(spark, sf), f"{root}/lines_src")
+    lines = tables.read(spark, f"{root}/lines_src")
+    batches = arrival_batches(lines, ["1997-01-01", "1999-01-01"])
+
+    def build(silver):
+        return gold.daily_revenue_by_vendor(silver, audit=False)
+    for batch_id, batch in [(1, batches[0]), (2, batches[1]), (2, batches[1]), (3, batches[2])]:
+        appendonly.apply_batch(f"{root}/silver", batch, batch_id, f"{root}/gold",
+                               ["source_vendor", "order_date"], build)
+    return tables.read(spark, f"{root}/gold")

@@ -132,3 +132,39 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
                                    "version long, rows long, committed_at double, note string")
     commit.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/commits/v={version:06d}")
     return version
+
+
+# --- Append-only tables: one immutable partition per batch ---------------------
+
+BATCH_COL = "_batch"
+
+
+def append(df: DataFrame, root: str, batch_id: int, note: str = "") -> int:
+    """Append ``df`` as batch ``batch_id`` of the append-only table ``root``.
+
+    The batch is written as its own partition ``<root>/data/_batch=<id>`` with dynamic
+    partition overwrite, so retrying a failed batch replaces only its own partial
+    output; readers see it only after its commit record exists.  Nothing already
+    committed is ever rewritten.
+    """
+    spark = df.sparkSession
+    obs = Observation(f"append_{batch_id}")
+    (df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+       .observe(obs, F.count(F.lit(1)).alias("rows"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(BATCH_COL).parquet(f"{root.rstrip('/')}/data"))
+    rows = int(obs.get.get("rows", 0))
+    commit = spark.createDataFrame([(batch_id, rows, time.time(), note)],
+                                   "version long, rows long, committed_at double, note string")
+    commit.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/commits/v={batch_id:06d}")
+    return rows
+
+
+def read_appended(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame | None:
+    """All committed batches (optionally only those ``<= upto``); partition pruning
+    keeps uncommitted or later batches out of the scan.  None before the first batch."""
+    last = latest_version(spark, root)
+    if last is None:
+        return None
+    bound = last if upto is None else min(last, upto)
+    return spark.read.parquet(f"{root.rstrip('/')}/data").filter(F.col(BATCH_COL) <= F.lit(bound))
