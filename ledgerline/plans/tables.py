@@ -105,19 +105,26 @@ def read(spark: SparkSession, root: str, version: int | None = None) -> DataFram
 
 def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
             sort_within: list[str] | None = None, files: int | None = None,
-            note: str = "") -> int:
+            note: str = "", rebalance: bool = True) -> int:
     """Write ``df`` as the next version and commit it; returns the version number.
 
-    ``files`` optionally sets the number of output files (hash repartition by
-    ``partition_by`` columns when given, else round-robin); ``sort_within`` sorts
-    inside each file so Parquet row-group statistics can skip data.
+    ``files`` optionally sets the number of output files (round-robin repartition), or
+    with ``partition_by`` the number of writer tasks.
+    With ``partition_by`` the rows are *rebalanced* on the partition columns: each
+    value's rows go to few writers, and AQE splits a value that holds a large share
+    of the data over several tasks (no single task writes a hot date) while merging
+    small ones (``rebalance=False`` for a frame the caller already laid out).
+    ``sort_within`` sorts inside each file so Parquet row-group statistics can skip data.
     """
     spark = df.sparkSession
     prev = latest_version(spark, root)
     version = 1 if prev is None else prev + 1
     out = df
-    if files:
-        out = out.repartition(files, *partition_by) if partition_by else out.repartition(files)
+    if partition_by and rebalance:
+        out = (out.hint("rebalance", files, *partition_by) if files
+               else out.hint("rebalance", *partition_by))
+    elif files:
+        out = out.repartition(files)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     # the row count comes from the write job itself (an observed metric), not a re-read

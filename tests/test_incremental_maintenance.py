@@ -164,3 +164,16 @@ def test_delta_gold_equals_full_rebuild(spark, tmp_dir):
     # the settled copy of Y has no discount: the key's discount sum becomes NULL again
     kr = got.filter("country_code = 'KR'").first()
     assert kr["total_discount_usd"] is None and kr["order_count"] == 1   # NULL order ids are not counted
+
+
+def test_partitioned_compaction_keeps_rows_and_partitions(spark, tmp_dir):
+    root = f"{tmp_dir}/pc"
+    # one "day" holds most rows (a hot partition value)
+    df = spark.range(5000).select("id", F.when(F.col("id") < 4000, F.lit(0)).otherwise(F.col("id") % 7).alias("day"),
+                                  (F.col("id") % 13).alias("g"))
+    tables.publish(df, root, partition_by=["day"])
+    report = maintenance.compact(spark, root, zorder_by=["day", "g"], partition_by=["day"]).first()
+    assert report["clustered_by"] == "g"                      # the partition column is dropped from Z-order
+    assert rows(tables.read(spark, root).select("id", "day", "g")) == rows(df)
+    h = maintenance.table_health(spark, tables.version_path(root, report["version_after"])).first()
+    assert h["partition_columns"] == ["day"]
