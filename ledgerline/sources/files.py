@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import bounded_broadcast
-from ledgerline.schemas import text_schema
 from ledgerline.session import ensure_checkpoint_dir
 
 
@@ -65,9 +64,9 @@ def read_vendor(spark: SparkSession, path: str, vendor: str, key_col: str, sep:
     out = None
     for header in sorted(layouts):
         names = _split_header(header, sep, quote)
-        schema = text_schema(names)
+        ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
         part = (data.filter(F.col("_header") == header)
-                .select(F.from_csv("value", schema.simpleString(), opts).alias("_r"), "_source_file")
+                .select(F.from_csv("value", ddl, opts).alias("_r"), "_source_file")
                 .select(*[F.col(f"_r.`{n}`").alias(n) for n in names], "_source_file"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:

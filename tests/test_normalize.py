@@ -137,3 +137,12 @@ def test_unify_schema_is_canonical(spark, tmp_dir):
                         normalize.vendor_c(files.read_vendor_c(spark, f"{tmp_dir}/c/*.tsv")))
     assert [(f.name, f.dataType) for f in u.schema.fields] == [(f.name, f.dataType) for f in CANONICAL.fields]
     assert u.count() == 5 + 3 + 7
+
+
+def test_reader_odd_header_names_and_crlf(spark, tmp_dir):
+    _write(f"{tmp_dir}/odd/orders_1.csv",
+           "order_id,Order Date (US),unit price\r\nA1,01/15/2024,10.50\r\nA2,02/28/2024,\"1,234.50\"\r\n")
+    df = files.read_vendor_a(spark, f"{tmp_dir}/odd/*.csv")
+    got = rows(df, "order_id", "Order Date (US)", "unit price")
+    assert got == [("A1", "01/15/2024", "10.50"), ("A2", "02/28/2024", "1,234.50")]
+    assert df.select("_source_row").distinct().count() == 2
