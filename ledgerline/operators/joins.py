@@ -10,23 +10,30 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (one small ``limit(n+1).count()`` job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` if a bounded count proves ``df`` has at most ``max_rows`` rows.
 
-    The check is one small job (``limit(max_rows + 1).count()``).  Beyond the bound the
-    frame is returned as is and Spark plans a shuffle join (AQE may still switch to a
-    broadcast after measuring it).  Used for per-batch key sets joined against whole
-    tables, where AQE's own runtime switch would come only after the large side had
-    already been shuffled.
+    Beyond the bound the frame is returned as is and Spark plans a shuffle join (AQE
+    may still switch to a broadcast after measuring it).  Used for per-batch key sets
+    joined against whole tables, where AQE's own runtime switch would come only after
+    the large side had already been shuffled.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
-def small_keys(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a (small) key set once in the shared checkpoint folder, then hint it
-    as broadcast if its size check passes - so neither the check nor the joins that use
-    it recompute its lineage."""
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder (reliable checkpoint)."""
     from ledgerline.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    return bounded_broadcast(df.checkpoint(eager=True), max_rows)
+    return df.checkpoint(eager=True)
+
+
+def small_keys(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Materialise a (small) key set once, then hint it as broadcast if its size check
+    passes - so neither the check nor the joins that use it recompute its lineage."""
+    return bounded_broadcast(materialise(df), max_rows)

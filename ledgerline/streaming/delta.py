@@ -75,22 +75,48 @@ def present(st: DataFrame, dims: Sequence[str], duplicate_count: bool = True) ->
 
 
 def apply_delta(st: DataFrame, old_winners: DataFrame, new_winners: DataFrame,
-                dims: Sequence[str]) -> DataFrame:
-    """State + aggregate(new_winners) - aggregate(old_winners); emptied keys dropped."""
+                dims: Sequence[str], broadcast_rows: int = 2_000_000) -> DataFrame:
+    """State + aggregate(new_winners) - aggregate(old_winners); emptied keys dropped.
+
+    The delta has at most one row per Gold key the batch touches.  When a bounded
+    count shows it is small, the state is updated with one map-side pass (state LEFT
+    JOIN broadcast(delta)) and the delta keys that matched nothing are appended: the
+    state is scanned, never shuffled.  Otherwise a full outer join is used.
+    """
+    from ledgerline.operators.joins import bounded_broadcast, fits, materialise
     dims = list(dims)
     parts = (new_winners.select(*[gold._dim(d) for d in dims], *_signed_parts(new_winners, 1))
              .unionByName(old_winners.select(*[gold._dim(d) for d in dims], *_signed_parts(old_winners, -1))))
-    delta = _aggregate(parts, dims)
+    delta = materialise(_aggregate(parts, dims))
+    small = fits(delta, broadcast_rows)
+    d = delta.select(*[F.col(c).alias(f"_d_{c}") for c in delta.columns])
+    if small:
+        d = F.broadcast(d)
     on = None
-    for d in dims:
-        c = st[d].eqNullSafe(delta[d])
+    for k in dims:
+        c = F.col(k).eqNullSafe(F.col(f"_d_{k}"))
         on = c if on is None else on & c
-    j = st.join(delta, on, "full_outer")
-    cols = [F.coalesce(st[d], delta[d]).alias(d) for d in dims]
-    for c in st.columns:
-        if c not in dims:
-            cols.append((F.coalesce(st[c], F.lit(0)) + F.coalesce(delta[c], F.lit(0))).alias(c))
-    return j.select(*cols).filter(F.col("_lines__c") > 0)
+    measures = [c for c in st.columns if c not in dims]
+
+    def added(c):
+        return (F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_d_{c}"), F.lit(0))).alias(c)
+    if small:
+        updated = st.join(d, on, "left").select(*dims, *[added(c) for c in measures])
+        matched = (st.select(*dims).join(d, on, "inner")
+                   .select(*[F.col(f"_d_{k}").alias(f"_m_{k}") for k in dims]).distinct())
+        mon = None
+        for k in dims:
+            c = F.col(f"_d_{k}").eqNullSafe(F.col(f"_m_{k}"))
+            mon = c if mon is None else mon & c
+        new_keys = (d.join(bounded_broadcast(matched, broadcast_rows), mon, "left_anti")
+                    .select(*[F.col(f"_d_{k}").alias(k) for k in dims],
+                            *[F.col(f"_d_{c}").alias(c) for c in measures]))
+        out = updated.unionByName(new_keys)
+    else:
+        j = st.join(d, on, "full_outer")
+        out = j.select(*[F.coalesce(F.col(k), F.col(f"_d_{k}")).alias(k) for k in dims],
+                       *[added(c) for c in measures])
+    return out.filter(F.col("_lines__c") > 0)
 
 
 def apply_batch(root: str, batch: DataFrame, batch_id: int, state_root: str, dims: Sequence[str],
