@@ -78,7 +78,8 @@ def main() -> None:
 
     def land():
         a, b, c = testdata.vendor_feeds(spark, sf_dir)
-        S.land_bronze({"vendor_a": a, "vendor_b": b, "vendor_c": c}, f"{root}/bronze")
+        # balanced Bronze files (a file is one Parquet row group at this size, i.e. one task)
+        S.land_bronze({"vendor_a": a, "vendor_b": b, "vendor_c": c}, f"{root}/bronze", files=2 * cpus)
     timed("bronze_land", land)
 
     def build_silver():

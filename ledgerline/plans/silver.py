@@ -9,14 +9,17 @@ from ledgerline.plans import tables
 from ledgerline.sources import testdata
 
 
-def land_bronze(frames: dict[str, DataFrame], root: str, parallel: int = 3) -> dict[str, int]:
+def land_bronze(frames: dict[str, DataFrame], root: str, parallel: int = 3,
+                files: int | None = None) -> dict[str, int]:
     """Publish each vendor's Bronze frame as its own snapshot table ``<root>/<vendor>``.
 
     The landings are independent jobs, submitted concurrently from the driver.
+    ``files`` (optional) writes each table as that many equal-sized files, so the
+    Silver job that reads it gets balanced tasks.
     """
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        futures = {v: pool.submit(tables.publish, df, f"{root.rstrip('/')}/{v}", note=v)
+        futures = {v: pool.submit(tables.publish, df, f"{root.rstrip('/')}/{v}", note=v, files=files)
                    for v, df in frames.items()}
         return {v: f.result() for v, f in futures.items()}
 
