@@ -24,8 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import bounded_broadcast
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.operators.joins import bounded_broadcast, materialise
 
 
 def _csv_options(sep: str, quote: str | None, escape: str | None) -> dict:
@@ -49,14 +48,25 @@ def read_vendor(spark: SparkSession, path: str, vendor: str, key_col: str, sep:
     """Bronze rows (all text) of every file under ``path`` (a file, folder or glob)."""
     lines = (spark.read.text(path)
              .select(F.col("value"), F.col("_metadata.file_path").alias("_source_file")))
+    return parse_vendor_lines(lines, vendor, key_col, sep, quote, escape, where=path)
+
+
+def parse_vendor_lines(lines: DataFrame, vendor: str, key_col: str, sep: str = ",",
+                       quote: str | None = '"', escape: str | None = None,
+                       where: str = "the input") -> DataFrame:
+    """Parse raw text lines ``(value, _source_file)`` of whole delimited files into
+    Bronze rows, each line with the header of its own file; adds lineage.
+
+    Works on a batch read and on a streaming micro-batch (a file stream delivers
+    whole files per batch).
+    """
     is_header = F.col("value").startswith(key_col + sep) | (F.col("value") == key_col)
     if quote:
         is_header = is_header | F.col("value").startswith(f"{quote}{key_col}{quote}{sep}")
     # file -> header map: one row per file, materialised once in the shared checkpoint
     # folder so the landing files are scanned twice in total (headers, then data)
-    ensure_checkpoint_dir(spark)
-    headers = (lines.filter(is_header).select("_source_file", F.col("value").alias("_header"))
-               .distinct().checkpoint(eager=True))
+    headers = materialise(lines.filter(is_header)
+                          .select("_source_file", F.col("value").alias("_header")).distinct())
     layouts = [r["_header"] for r in headers.select("_header").distinct().collect()]
     data = (lines.filter(~is_header & (F.length(F.trim("value")) > 0))
             .join(bounded_broadcast(headers), "_source_file"))
@@ -70,7 +80,7 @@ def read_vendor(spark: SparkSession, path: str, vendor: str, key_col: str, sep:
                 .select(*[F.col(f"_r.`{n}`").alias(n) for n in names], "_source_file"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     if out is None:
-        raise FileNotFoundError(f"no {vendor} files with a '{key_col}' header under {path}")
+        raise FileNotFoundError(f"no {vendor} files with a '{key_col}' header in {where}")
     return add_lineage(out, vendor)
 
 
