@@ -20,7 +20,8 @@ and prints ONE JSON line.  Steps, in the order the reference pipeline runs them:
 * ``incremental_batch_recompute_touched`` / ``incremental_batch_delta`` - the last ~10%
                      of arrivals applied as one batch to an append-only Silver and daily
                      revenue by vendor: recomputing the touched Gold keys, or moving Gold
-                     by the batch's delta (new winners - demoted winners)
+                     by the batch's delta (new winners - demoted winners); ``..._delta_log``
+                     writes only the delta rows (log-structured Gold)
 * ``e2e_daily_revenue_by_vendor`` - raw test tables -> Gold in a single job
 """
 
@@ -142,6 +143,11 @@ def main() -> None:
     timed("incremental_batch_delta",
           lambda: delta.apply_batch(f"{inc_root}/silver_d", lines.filter(F.col("_ingestion_timestamp") > cut),
                                     2, f"{inc_root}/state", dims))
+    delta.append_batch(f"{inc_root}/silver_l", lines.filter(F.col("_ingestion_timestamp") <= cut), 1,
+                       f"{inc_root}/log", dims)
+    timed("incremental_batch_delta_log",
+          lambda: delta.append_batch(f"{inc_root}/silver_l", lines.filter(F.col("_ingestion_timestamp") > cut),
+                                     2, f"{inc_root}/log", dims))
     timed("e2e_daily_revenue_by_vendor",
           lambda: _run(registry.QUERIES["daily_revenue_by_vendor"](spark, sf_dir)))
 
