@@ -219,3 +219,15 @@ def fold(spark, log_root: str, base_root: str, dims: Sequence[str]) -> int:
     """Compact the log into a new base snapshot (run periodically, like a compaction)."""
     upto = tables.latest_version(spark, log_root)
     return tables.publish(state_from_log(spark, log_root, dims, base_root), base_root, note=f"upto={upto}")
+
+
+def top_products_from_state(st: DataFrame, n: int = 10) -> DataFrame:
+    """Top-``n`` products by revenue from a (product_sku, order_date) state - summed per
+    product over the (small) state instead of rescanning Silver."""
+    def money(name):
+        return F.when(F.sum(f"{name}__n") > 0, F.sum(f"{name}__s")).cast(MONEY)
+    return (st.groupBy("product_sku")
+            .agg(money("total_amount_usd").alias("total_amount_usd"),
+                 money("total_discount_usd").alias("total_discount_usd"))
+            .orderBy(F.col("total_amount_usd").desc_nulls_last(), F.col("product_sku").asc_nulls_last())
+            .limit(n))
