@@ -701,3 +701,20 @@ def q_top10_delta(spark, sf):
     for batch_id, batch in enumerate(arrival_batches(lines, ["1997-01-01", "1999-01-01"]), start=1):
         delta.append_batch(f"{root}/silver", batch, batch_id, f"{root}/log", dims)
     return delta.top_products_from_state(delta.state_from_log(spark, f"{root}/log", dims), 10)
+
+
+@register("promo_from_delta_log", ORACLE["promo_analysis"])
+def q_promo_delta(spark, sf):
+    """Promo analysis maintained incrementally: a per-promo-code delta log (with loyalty
+    points) over three arrival batches."""
+    from ledgerline.plans import tables
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import delta
+    from ledgerline.streaming.incremental import arrival_batches
+    root = scratch_path(spark, "delta_promo")
+    tables.publish(S.test_unified(spark, sf), f"{root}/lines_src")
+    lines = tables.read(spark, f"{root}/lines_src")
+    for batch_id, batch in enumerate(arrival_batches(lines, ["1997-01-01", "1999-01-01"]), start=1):
+        delta.append_batch(f"{root}/silver", batch, batch_id, f"{root}/log", ["promo_code"],
+                           measures=delta.PROMO_MEASURES)
+    return delta.present_promo(delta.state_from_log(spark, f"{root}/log", ["promo_code"]))

@@ -24,17 +24,22 @@ from ledgerline.plans import tables
 from ledgerline.schemas import MONEY, ORDER_KEYS
 
 # measure -> (value expression, kind); "sum" keeps (sum, non-null count), "count" a count
-_MEASURES = {
+REVENUE_MEASURES = {
     "total_amount_usd": (lambda: F.col("total_amount_usd"), "sum"),
     "total_discount_usd": (lambda: F.col("discount_amt_usd"), "sum"),
     "order_count": (lambda: F.col("order_id").isNotNull().cast("long"), "count"),
     "_lines": (lambda: F.lit(1).cast("long"), "count"),
 }
+PROMO_MEASURES = {
+    **REVENUE_MEASURES,
+    "total_loyalty_points_awarded": (lambda: F.col("loyalty_points").cast("long"), "sum"),
+}
+_MEASURES = REVENUE_MEASURES
 
 
-def _signed_parts(df: DataFrame, sign: int) -> list[Column]:
+def _signed_parts(df: DataFrame, sign: int, measures: dict = REVENUE_MEASURES) -> list[Column]:
     cols = []
-    for name, (expr, kind) in _MEASURES.items():
+    for name, (expr, kind) in measures.items():
         v = expr()
         if kind == "sum":
             cols += [(v * F.lit(sign)).alias(f"{name}__s"),
@@ -44,9 +49,9 @@ def _signed_parts(df: DataFrame, sign: int) -> list[Column]:
     return cols
 
 
-def _aggregate(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
+def _aggregate(rows: DataFrame, dims: Sequence[str], measures: dict = REVENUE_MEASURES) -> DataFrame:
     aggs = []
-    for name, (_, kind) in _MEASURES.items():
+    for name, (_, kind) in measures.items():
         if kind == "sum":
             aggs += [F.sum(f"{name}__s").alias(f"{name}__s"), F.sum(f"{name}__n").alias(f"{name}__n")]
         else:
@@ -159,7 +164,7 @@ def apply_batch(root: str, batch: DataFrame, batch_id: int, state_root: str, dim
 
 
 def batch_delta(before: DataFrame | None, batch: DataFrame, after: DataFrame, dims: Sequence[str],
-                keys: Sequence[str] = ORDER_KEYS) -> DataFrame:
+                keys: Sequence[str] = ORDER_KEYS, measures: dict = REVENUE_MEASURES) -> DataFrame:
     """Signed measure rows (one per touched Gold key) that move Gold from ``before`` to
     ``after`` = ``before`` + ``batch`` (both deduplicated on read)."""
     keys, dims = list(keys), list(dims)
@@ -176,15 +181,16 @@ def batch_delta(before: DataFrame | None, batch: DataFrame, after: DataFrame, di
             on = c if on is None else on & c
         return dedup.keep_best(df.join(touched, on, "left_semi"))
     new_w = of_touched(after).unionByName(batch.filter(~no_null).select(*after.columns))
-    parts = new_w.select(*[gold._dim(d) for d in dims], *_signed_parts(new_w, 1))
+    parts = new_w.select(*[gold._dim(d) for d in dims], *_signed_parts(new_w, 1, measures))
     if before is not None:
         old_w = of_touched(before)
-        parts = parts.unionByName(old_w.select(*[gold._dim(d) for d in dims], *_signed_parts(old_w, -1)))
-    return _aggregate(parts, dims)
+        parts = parts.unionByName(old_w.select(*[gold._dim(d) for d in dims],
+                                               *_signed_parts(old_w, -1, measures)))
+    return _aggregate(parts, dims, measures)
 
 
 def append_batch(root: str, batch: DataFrame, batch_id: int, log_root: str, dims: Sequence[str],
-                 keys: Sequence[str] = ORDER_KEYS) -> int:
+                 keys: Sequence[str] = ORDER_KEYS, measures: dict = REVENUE_MEASURES) -> int:
     """Append ``batch`` to the append-only Silver and its Gold delta to the delta log
     (both as partition ``batch_id``; a replay overwrites its own partitions).  Nothing
     else is written: per-batch output is proportional to the batch."""
@@ -194,7 +200,7 @@ def append_batch(root: str, batch: DataFrame, batch_id: int, log_root: str, dims
     after = tables.read_appended(spark, root, upto=batch_id).drop(tables.BATCH_COL)
     if before is not None:
         before = before.drop(tables.BATCH_COL)
-    return tables.append(batch_delta(before, batch, after, dims, keys), log_root, batch_id,
+    return tables.append(batch_delta(before, batch, after, dims, keys, measures), log_root, batch_id,
                          note=f"batch={batch_id}")
 
 
@@ -231,3 +237,18 @@ def top_products_from_state(st: DataFrame, n: int = 10) -> DataFrame:
                  money("total_discount_usd").alias("total_discount_usd"))
             .orderBy(F.col("total_amount_usd").desc_nulls_last(), F.col("product_sku").asc_nulls_last())
             .limit(n))
+
+
+def present_promo(st: DataFrame) -> DataFrame:
+    """Promo analysis (per non-NULL promo code) from a ``PROMO_MEASURES`` state."""
+    def s(name, dtype=MONEY):
+        return F.when(F.col(f"{name}__n") > 0, F.col(f"{name}__s")).cast(dtype)
+    return (st.filter(F.col("promo_code").isNotNull())
+            .select("promo_code",
+                    F.col("order_count__c").cast("long").alias("usage_count"),
+                    s("total_discount_usd").alias("total_discount_given_usd"),
+                    s("total_amount_usd").alias("total_revenue_with_promo_usd"),
+                    F.round(F.try_divide(F.col("total_amount_usd__s"),
+                                         F.col("total_amount_usd__n").cast("decimal(20,0)")), 2)
+                    .cast(MONEY).alias("avg_order_value_usd"),
+                    s("total_loyalty_points_awarded", "long").alias("total_loyalty_points_awarded")))
