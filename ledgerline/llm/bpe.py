@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-A block of documents (``BLOCK_BYTES``) is cut into pieces by the tokenizer's pattern; each *distinct*
+A block of documents (``ENCODE_BYTES``) is cut into pieces by the tokenizer's pattern; each *distinct*
 piece becomes a run of byte symbols in one flat array.  An inverted index leads from the token a pair
 merges into to the positions of such pairs.  Merges are replayed in rank order: the positions of the
 lowest rank are taken from the index, merged all at once, and only the pairs with the touched
@@ -22,9 +22,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ledgerline.llm.common import BLOCK_BYTES, narrow, text_blocks
+from ledgerline.llm.common import narrow, text_blocks
 
 NO_RANK = np.int64(1) << 40
+#: text encoded at once; the symbol arrays of a block take about twenty times as much
+ENCODE_BYTES = 6 << 20
 
 
 @dataclass(frozen=True)
@@ -70,7 +72,7 @@ class Encoder:
         keys = self.vocab.pair_keys
         if not len(keys):
             return np.full(len(left), NO_RANK)
-        want = left << 32 | right
+        want = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
         return np.where(keys[at] == want, self.vocab.pair_ids[at], NO_RANK)
 
@@ -91,16 +93,16 @@ class Encoder:
         lens = np.array([len(words[i]) for i in open_], dtype=np.int64)
         raw = np.frombuffer(b"".join(words[i] for i in open_), dtype=np.uint8)
         n = len(raw)
-        tok = self.byte_id[raw]
-        owner = np.repeat(np.arange(len(open_)), lens)
-        pos = np.arange(n, dtype=np.int64)
+        tok = self.byte_id.astype(np.int32)[raw]
+        owner = np.repeat(np.arange(len(open_), dtype=np.int32), lens)
+        pos = np.arange(n, dtype=np.int32)
         last = np.zeros(n, dtype=bool)
         first = np.zeros(n, dtype=bool)
         ends = np.cumsum(lens)
         last[ends[lens > 0] - 1] = True
         first[(ends - lens)[lens > 0]] = True
-        nxt = np.where(last, -1, pos + 1)
-        prv = np.where(first, -1, pos - 1)
+        nxt = np.where(last, np.int32(-1), pos + np.int32(1))
+        prv = np.where(first, np.int32(-1), pos - np.int32(1))
         alive = np.ones(n, dtype=bool)
         again: set[int] = set()
 
@@ -120,9 +122,11 @@ class Encoder:
                     index[r] = [part]
                     heapq.heappush(heap, r)
 
-        start = np.flatnonzero(~last)
+        del pos, first
+        start = np.flatnonzero(~last).astype(np.int32)
         ranks = self.pair_rank(tok[start], tok[start + 1])
         add(start[ranks < NO_RANK], ranks[ranks < NO_RANK])
+        del start, ranks
         while heap:
             r = heapq.heappop(heap)
             lists = index.pop(r)
@@ -171,11 +175,11 @@ class Encoder:
             for w, x in redo.items():
                 counts[w] = len(x)
         offsets = np.concatenate(([0], np.cumsum(counts)))
-        flat = np.empty(offsets[-1], dtype=np.int64)
+        flat = np.empty(offsets[-1], dtype=np.uint32)
         mine = np.repeat(whole < 0, counts)
         flat[mine] = ids_open
         flat[~mine] = whole[whole >= 0]
-        return flat.astype(np.uint32), offsets
+        return flat, offsets
 
 
 class _Seen(dict):
@@ -193,7 +197,7 @@ def encode_block(enc: Encoder, texts: list[bytes | None]) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
     seen = _Seen()
     find = _pattern(enc.vocab.pattern).findall
-    codes = [np.array([seen[w] for w in find(t.decode("utf-8", "replace"))], dtype=np.int64) if t else None for t in texts]
+    codes = [np.array([seen[w] for w in find(t.decode("utf-8", "replace"))], dtype=np.int32) if t else None for t in texts]
     flat, offsets = enc.pieces([w.encode() for w in seen])
     out = []
     for c in codes:
@@ -216,7 +220,7 @@ def encode(docs: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(shared.value)
-        for ids, texts in text_blocks(batches, BLOCK_BYTES):
+        for ids, texts in text_blocks(batches, ENCODE_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(encode_block(enc, texts), pa.binary())],
                                              names=["doc_id", "ids"])
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe
-from ledgerline.llm.common import load
+from ledgerline.llm import bpe, langid, nbsvm, simhash, toxicity
+from ledgerline.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +35,40 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to byte-level BPE ids and decoded again."""
     return bpe_digests(load(spark, sf_dir, "documents"))
+
+
+@query("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its SimHash fingerprint and near-duplicate component."""
+    out = simhash.near_duplicates(load(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its predicted language; learned from the folds other than 1."""
+    docs = load(spark, sf_dir, "documents")
+    model = langid.fit_documents(docs, fold("doc_id", 3) != 1)
+    out = langid.predict(docs, model)
+    return out.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score; learned from the folds other than 2."""
+    docs = load(spark, sf_dir, "documents")
+    model = nbsvm.fit_documents(docs, load(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return _scored(nbsvm.predict(docs, model), 0.7)
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score; learned from the folds other than 2."""
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.fit_documents(docs, load(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return _scored(toxicity.predict(docs, model), 0.3)
+
+
+def _scored(out: DataFrame, threshold: float) -> DataFrame:
+    return out.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= threshold).cast("int").alias("predicted"))
