@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +39,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _bytes(col: pa.Array) -> pa.Array:
+    """A text column as its UTF-8 bytes, without decoding."""
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    return col.cast(pa.large_binary() if wide else pa.binary())
+
+
+def row_blocks(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int = BLOCK_BYTES) -> Iterator[pa.Table]:
+    """Whole rows in blocks of about ``max_bytes`` of the column ``text``, which comes as bytes."""
+    parts: list[pa.RecordBatch] = []
+    held = 0
+    for batch in batches:
+        k = batch.schema.get_field_index(text)
+        batch = pa.RecordBatch.from_arrays([_bytes(c) if j == k else c for j, c in enumerate(batch.columns)], names=batch.schema.names)
+        at = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(k)), 0).to_pylist()):
+            if held + n > max_bytes and (parts or i > at):
+                yield pa.Table.from_batches(parts + [batch.slice(at, i - at)])
+                parts, held, at = [], 0, i
+            held += n
+        if at < batch.num_rows:
+            parts.append(batch.slice(at))
+    if parts:
+        yield pa.Table.from_batches(parts)
+
+
 def text_blocks(batches: Iterable[pa.RecordBatch], max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes | None]]]:
     """(ids, UTF-8 texts) of the rows in blocks of about ``max_bytes``; a longer text is a block alone.
 
@@ -46,11 +72,7 @@ def text_blocks(batches: Iterable[pa.RecordBatch], max_bytes: int = BLOCK_BYTES)
     texts: list[bytes | None] = []
     held = 0
     for batch in batches:
-        id_list = batch.column(0).to_pylist()
-        col = batch.column(1)
-        col = col.cast(pa.large_binary()) if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) \
-            else col.cast(pa.binary())
-        for i, v in zip(id_list, col):
+        for i, v in zip(batch.column(0).to_pylist(), _bytes(batch.column(1))):
             t = v.as_py()
             n = len(t) if t else 0
             if texts and held + n > max_bytes:

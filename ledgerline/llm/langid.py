@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import samples
-from ledgerline.llm.common import narrow, text_blocks
+from ledgerline.llm.common import narrow, row_blocks, text_blocks
 from ledgerline.llm.subwords import subword_runs, sum_runs
 
 BUCKETS = 1 << 15
@@ -172,6 +172,22 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text the model does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for rows in row_blocks(batches, text_col):
+            label, score = score_block(m, rows.column(text_col).to_pylist())
+            keep = pa.array([x != UNKNOWN and s >= m.reject_below for x, s in zip(label, score)], pa.bool_())
+            rows = rows.filter(keep)
+            k = rows.schema.get_field_index(text_col)
+            yield from rows.set_column(k, text_col, rows.column(k).cast(pa.large_string() if pa.types.is_large_binary(rows.column(k).type) else pa.string())).to_batches()
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit_documents(docs: DataFrame, allowed: Column, per_language: int = 1500) -> Model:
     """Learn from at most ``per_language`` documents of each non-NULL ``lang`` among the rows where ``allowed``."""
     return fit(samples.by_column(docs, F.col("lang").cast("string"), allowed, per_language))

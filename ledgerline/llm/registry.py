@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, langid, nbsvm, simhash, toxicity
+from ledgerline.llm import bpe, compact_windows, decontam, langid, nbsvm, quality_rules, simhash, sql, suffix_dedup, toxicity, urls
 from ledgerline.llm.common import fold, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,46 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scored(out: DataFrame, threshold: float) -> DataFrame:
     return out.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@query("op1_decontamination", sql.CONTAMINATION)
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words inside 13-word windows of benchmark items."""
+    out = decontam.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), width=13, one_in=20)
+    return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op7_quality_rules", sql.quality_rules(quality_rules.COMMON_WORDS, quality_rules.CHAR_CLASSES, quality_rules.MAX_CHAR_DISTANCE,
+                                              quality_rules.MIN_CHARS, quality_rules.MAX_WORD_DISTANCE, quality_rules.MIN_WORDS))
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its base counts and the verdict of the divergence rules."""
+    return quality_rules.judge(load(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
+#: host, path, action
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+@query("op9_url_filter", sql.URLS)
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its host, path, rule and verdict."""
+    return urls.judge(load(spark, sf_dir, "pages"), spark.createDataFrame(list(URL_RULES), "host string, path string, action string"))
+
+
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with passages that near-duplicate one of a document with a smaller id: how much, and of which."""
+    out = compact_windows.repeated_passages(load(spark, sf_dir, "documents"))
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["last"] - s["first"])
+    return out.where(F.size("spans") > 0).select("doc_id", "n_words", words.alias("n_repeated"), F.size("spans").cast("long").alias("n_spans"),
+                                                  F.col("sources").alias("source_ids"))
+
+
+@query("op6_suffix_array_dedup")
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that also start in a document with a smaller id."""
+    out = suffix_dedup.remove_repeated(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

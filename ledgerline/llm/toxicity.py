@@ -1,7 +1,9 @@
 """Toxicity: bidirectional gated recurrent network with attention pooling, trained in numpy.
 
 Each word enters as a learned word vector next to the mean of learned vectors of its character n-grams,
-so unseen spellings have an input too.  Gated recurrent units run over a window of ``WINDOW`` words in
+and two fixed numbers: the shrunk log-odds of the word, and the largest of its character n-grams', so that
+an unseen word with a telling stem has evidence too.  A training text's own counts are left out of its
+log-odds.  Gated recurrent units run over a window of ``WINDOW`` words in
 both directions; attention weighs the states, and a logistic unit gives the window's logit.  *All*
 overlapping windows (every ``STRIDE`` words, the last one flush with the end) of a whole text are scored;
 the text's score is a logistic calibration of its largest window logit.
@@ -28,8 +30,9 @@ from ledgerline.llm.common import narrow, text_blocks
 from ledgerline.llm.subwords import subword_runs, sum_runs
 
 WINDOW, STRIDE = 48, 32
-HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 8, 8, 8, 8
-CHAR_BUCKETS, CHAR_NGRAMS = 4096, (2, 3, 4)
+HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 12, 6, 6, 8
+CHAR_BUCKETS, CHAR_NGRAMS = 1 << 15, (4, 6, 8)
+SHRINK = 10  # texts that a log-odds value is shrunk by
 WORD = re.compile(r"\w+")
 F32 = np.float32
 
@@ -37,7 +40,7 @@ F32 = np.float32
 @dataclass(frozen=True)
 class Model:
     words: dict[str, int]            # word -> row of the word table; row 0 is any other word
-    p: dict[str, np.ndarray]         # parameters
+    p: dict[str, np.ndarray]         # parameters, and the log-odds of words and character n-grams
     slope: float
     shift: float
     prior: float
@@ -132,11 +135,38 @@ def _windows(n: int) -> list[tuple[int, int]]:
     return [(s, s + WINDOW) for s in starts]
 
 
+def _odds(df1: np.ndarray, df0: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Shrunk log-odds of label 1 from the numbers of texts of each label that hold a thing."""
+    df1, df0 = np.maximum(df1, 0), np.maximum(df0, 0)
+    raw = np.log((df1 + 0.5) / (n1 + 1)) - np.log((df0 + 0.5) / (n0 + 1))
+    seen = df1 + df0
+    return (raw * seen / (seen + SHRINK)).astype(F32)
+
+
+def _max_runs(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Largest of consecutive runs; 0 for a run without a value."""
+    out = np.zeros(len(counts), F32)
+    some = np.flatnonzero(counts)
+    if len(some):
+        heads = np.concatenate(([0], np.cumsum(counts[some])[:-1]))
+        out[some] = np.maximum.reduceat(values, heads)
+    return out
+
+
+def _mean_runs(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Means of consecutive runs; 0 for a run without a value."""
+    out = np.zeros((len(counts), values.shape[1]), F32)
+    some = np.flatnonzero(counts)
+    if len(some):
+        out[some] = sum_runs(values, counts[some]) / counts[some, None].astype(F32)
+    return out
+
+
 def _inputs(p, word_rows: np.ndarray, spelled: list[str]) -> np.ndarray:
-    """Input vectors of distinct words: word vector and mean character n-gram vector."""
+    """Input vectors of distinct words."""
     bucket, count = subword_runs(spelled, CHAR_NGRAMS, CHAR_BUCKETS)
-    chars = sum_runs(p["chars"][bucket], count) / count[:, None].astype(F32)
-    return np.concatenate((p["words"][word_rows], chars), axis=1)
+    return np.concatenate((p["words"][word_rows], _mean_runs(p["chars"][bucket], count), p["word_odds"][word_rows][:, None],
+                           _max_runs(p["char_odds"][bucket], count)[:, None]), axis=1)
 
 
 def _grid(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +205,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
     numbers = _Numbers()
     runs = [np.array([numbers[w] for w in WORD.findall(t.lower())], dtype=np.int64) for t, _ in sample]
     spelled = list(numbers)
-    hid, dim = HIDDEN, WORD_DIM + CHAR_DIM
+    hid, dim = HIDDEN, WORD_DIM + CHAR_DIM + 2
     p = {"chars": rng.normal(0, 0.1, (CHAR_BUCKETS, CHAR_DIM)), "b_a": np.zeros(ATTEND), "v_a": rng.normal(0, 0.3, ATTEND),
          "w_a": rng.normal(0, 0.3, (2 * hid, ATTEND)), "w_o": rng.normal(0, 0.3, 2 * hid), "b_o": np.zeros(1)}
     for d in "fb":
@@ -184,33 +214,44 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
         p["w_" + d] = rng.normal(0, 0.4, (dim, 3 * hid))
         p["g_" + d] = np.zeros(3 * hid)
     if len(y) < 2 or y.min() == y.max() or not spelled:
-        p["words"] = np.zeros((1, WORD_DIM))
+        p |= {"words": np.zeros((1, WORD_DIM)), "word_odds": np.zeros(1), "char_odds": np.zeros(CHAR_BUCKETS)}
         return Model({}, {k: v.astype(F32) for k, v in p.items()}, 0.0, float(np.log(prior / (1 - prior))), prior)
-    # words of several texts have a vector of their own; its first place starts from the word's log-odds,
-    # which few texts move less
-    held = [np.unique(r) for r in runs]
-    df1 = np.bincount(np.concatenate([h for h, k in zip(held, y) if k]), minlength=len(spelled))
-    df0 = np.bincount(np.concatenate([h for h, k in zip(held, y) if not k]), minlength=len(spelled))
-    own = np.flatnonzero(df1 + df0 >= 4)
+    # every sixth text calibrates: neither the counts nor the fit see it
+    apart = np.arange(len(runs)) % 6 == 5
+    bucket, count = subword_runs(spelled, CHAR_NGRAMS, CHAR_BUCKETS)
+    starts = np.concatenate(([0], np.cumsum(count)))
+    words_in = [np.unique(r) for r in runs]
+    df = np.zeros((2, len(spelled)), dtype=np.int64)
+    grams = np.zeros((2, CHAR_BUCKETS), dtype=np.int64)
+    for r, k, out in zip(words_in, y, apart):
+        if len(r) and not out:
+            df[k, r] += 1
+            grams[k, np.unique(np.concatenate([bucket[starts[w]:starts[w + 1]] for w in r]))] += 1
+    n1, n0 = int(y[~apart].sum()), int((1 - y[~apart]).sum())
+    own = np.flatnonzero(df.sum(axis=0) >= 4)
     row = np.zeros(len(spelled), dtype=np.int64)
     row[own] = np.arange(1, len(own) + 1)
     p["words"] = rng.normal(0, 0.1, (len(own) + 1, WORD_DIM))
-    odds = np.log((df1[own] + 1) / (y.sum() + 2)) - np.log((df0[own] + 1) / ((1 - y).sum() + 2))
-    p["words"][1:, 0] = odds / 2 * (df1 + df0)[own] / ((df1 + df0)[own] + 10)
     p["words"][0] = 0
     p = {k: v.astype(F32) for k, v in p.items()}
-    bucket, count = subword_runs(spelled, CHAR_NGRAMS, CHAR_BUCKETS)
-    starts = np.concatenate(([0], np.cumsum(count)))
+    fixed = {"word_odds": np.concatenate(([F32(0)], _odds(df[1, own], df[0, own], n1, n0))),
+             "char_odds": _odds(grams[1], grams[0], n1, n0)}
+
+    def evidence(a: int, b: int) -> np.ndarray:
+        """Both log-odds of every word as a text sees them that adds ``a`` and ``b`` to the counts of 1 and 0."""
+        w = np.where(row > 0, _odds(df[1] - a, df[0] - b, n1 - a, n0 - b), 0)
+        return np.stack((w, _max_runs(_odds(grams[1] - a, grams[0] - b, n1 - a, n0 - b)[bucket], count)), axis=1).astype(F32)
+
+    seen_by = np.stack((evidence(0, 1), evidence(1, 0)))  # by the text's label
 
     idx, real, owner = _grid(runs)
     label = y[owner].astype(F32)
-    calib = owner % 6 == 5
-    train_all = np.flatnonzero(~calib)
+    train_all = np.flatnonzero(~apart[owner])
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items()}
     step = 0
 
     def logits() -> np.ndarray:
-        x = _inputs(p, row, spelled)
+        x = _inputs(p | fixed, row, spelled)
         return _window_logits(p, x @ p["w_f"] + p["g_f"], x @ p["w_b"] + p["g_b"], idx, real)
 
     for epoch in range(epochs):
@@ -231,14 +272,15 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
         for at in range(0, len(chosen), 64):
             w = chosen[at:at + 64]
             ids, mask = idx[:, w], real[:, w]
-            distinct, back = np.unique(ids, return_inverse=True)
+            # a word in a toxic and in a clean text are two inputs: each leaves its own text's counts out
+            distinct, back = np.unique(ids.astype(np.int64) * 2 + label[w].astype(np.int64), return_inverse=True)
             back = back.reshape(ids.shape)
+            of, side = distinct >> 1, distinct & 1
             # one word in five shows its characters only, so that rare words are not learned by heart
-            rows = np.where(rng.random(len(distinct)) < 0.2, 0, row[distinct])
-            spans = [np.arange(starts[i], starts[i + 1]) for i in distinct]
-            b, n = bucket[np.concatenate(spans)], count[distinct]
-            chars = sum_runs(p["chars"][b], n) / n[:, None].astype(F32)
-            x = np.concatenate((p["words"][rows], chars), axis=1)
+            rows = np.where(rng.random(len(distinct)) < 0.2, 0, row[of])
+            n = count[of]
+            b = bucket[np.repeat(starts[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            x = np.concatenate((p["words"][rows], _mean_runs(p["chars"][b], n), seen_by[side, of]), axis=1)
             weight = np.where(label[w] == 1, 0.5 / ones, 0.5 / (1 - ones + 1e-6)).astype(F32)
             _, g, d_f, d_b = _gradients(p, (x @ p["w_f"] + p["g_f"])[back], (x @ p["w_b"] + p["g_b"])[back], mask, label[w], weight)
             d_x = np.zeros_like(x)
@@ -252,7 +294,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
             g["words"] = np.zeros_like(p["words"])
             np.add.at(g["words"], rows, d_x[:, :WORD_DIM])
             g["chars"] = np.zeros_like(p["chars"])
-            np.add.at(g["chars"], b, np.repeat(d_x[:, WORD_DIM:] / n[:, None].astype(F32), n, axis=0))
+            np.add.at(g["chars"], b, np.repeat(d_x[:, WORD_DIM:WORD_DIM + CHAR_DIM] / np.maximum(n, 1)[:, None].astype(F32), n, axis=0))
             step += 1
             lr = rate * (1 - step / (epochs * (len(train_all) / 64 + 1) + 1)) if step < epochs * (len(train_all) / 64 + 1) else rate * 0.01
             for k, grad in g.items():
@@ -264,10 +306,10 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
     now = logits()
     best = np.full(len(runs), -np.inf)
     np.maximum.at(best, owner, now.astype(np.float64))
-    seen = np.isfinite(best) & (np.arange(len(runs)) % 6 == 5)
+    seen = np.isfinite(best) & apart
     slope, shift = logistic(best[seen], y[seen]) if len(set(y[seen].tolist())) == 2 else (1.0, 0.0)
     shift += prior_shift(y, share)
-    return Model({spelled[i]: int(row[i]) for i in own}, p, slope, shift, prior)
+    return Model({spelled[i]: int(row[i]) for i in own}, p | fixed, slope, shift, prior)
 
 
 def score_block(model: Model, texts: list[bytes | None]) -> np.ndarray:
