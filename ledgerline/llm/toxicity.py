@@ -31,7 +31,8 @@ from ledgerline.llm.subwords import subword_runs, sum_runs
 
 WINDOW, STRIDE = 48, 32
 HIDDEN, WORD_DIM, CHAR_DIM, ATTEND = 12, 6, 6, 8
-CHAR_BUCKETS, CHAR_NGRAMS = 1 << 15, (4, 6, 8)
+CHAR_BUCKETS, CHAR_NGRAMS = 1 << 18, (5, 6, 7, 8)
+CHAR_ROWS = 4096  # learned vectors of n-grams, shared by their buckets
 SHRINK = 10  # texts that a log-odds value is shrunk by
 WORD = re.compile(r"\w+")
 F32 = np.float32
@@ -165,7 +166,7 @@ def _mean_runs(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _inputs(p, word_rows: np.ndarray, spelled: list[str]) -> np.ndarray:
     """Input vectors of distinct words."""
     bucket, count = subword_runs(spelled, CHAR_NGRAMS, CHAR_BUCKETS)
-    return np.concatenate((p["words"][word_rows], _mean_runs(p["chars"][bucket], count), p["word_odds"][word_rows][:, None],
+    return np.concatenate((p["words"][word_rows], _mean_runs(p["chars"][bucket % CHAR_ROWS], count), p["word_odds"][word_rows][:, None],
                            _max_runs(p["char_odds"][bucket], count)[:, None]), axis=1)
 
 
@@ -206,7 +207,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
     runs = [np.array([numbers[w] for w in WORD.findall(t.lower())], dtype=np.int64) for t, _ in sample]
     spelled = list(numbers)
     hid, dim = HIDDEN, WORD_DIM + CHAR_DIM + 2
-    p = {"chars": rng.normal(0, 0.1, (CHAR_BUCKETS, CHAR_DIM)), "b_a": np.zeros(ATTEND), "v_a": rng.normal(0, 0.3, ATTEND),
+    p = {"chars": rng.normal(0, 0.1, (CHAR_ROWS, CHAR_DIM)), "b_a": np.zeros(ATTEND), "v_a": rng.normal(0, 0.3, ATTEND),
          "w_a": rng.normal(0, 0.3, (2 * hid, ATTEND)), "w_o": rng.normal(0, 0.3, 2 * hid), "b_o": np.zeros(1)}
     for d in "fb":
         p["u_" + d] = rng.normal(0, 0.3, (hid, 3 * hid))
@@ -280,7 +281,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
             rows = np.where(rng.random(len(distinct)) < 0.2, 0, row[of])
             n = count[of]
             b = bucket[np.repeat(starts[of] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-            x = np.concatenate((p["words"][rows], _mean_runs(p["chars"][b], n), seen_by[side, of]), axis=1)
+            x = np.concatenate((p["words"][rows], _mean_runs(p["chars"][b % CHAR_ROWS], n), seen_by[side, of]), axis=1)
             weight = np.where(label[w] == 1, 0.5 / ones, 0.5 / (1 - ones + 1e-6)).astype(F32)
             _, g, d_f, d_b = _gradients(p, (x @ p["w_f"] + p["g_f"])[back], (x @ p["w_b"] + p["g_b"])[back], mask, label[w], weight)
             d_x = np.zeros_like(x)
@@ -294,7 +295,7 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
             g["words"] = np.zeros_like(p["words"])
             np.add.at(g["words"], rows, d_x[:, :WORD_DIM])
             g["chars"] = np.zeros_like(p["chars"])
-            np.add.at(g["chars"], b, np.repeat(d_x[:, WORD_DIM:WORD_DIM + CHAR_DIM] / np.maximum(n, 1)[:, None].astype(F32), n, axis=0))
+            np.add.at(g["chars"], b % CHAR_ROWS, np.repeat(d_x[:, WORD_DIM:WORD_DIM + CHAR_DIM] / np.maximum(n, 1)[:, None].astype(F32), n, axis=0))
             step += 1
             lr = rate * (1 - step / (epochs * (len(train_all) / 64 + 1) + 1)) if step < epochs * (len(train_all) / 64 + 1) else rate * 0.01
             for k, grad in g.items():
