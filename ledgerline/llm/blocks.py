@@ -25,7 +25,7 @@ TEXT_BYTES, BUCKET_BYTES = 2 << 20, 16 << 20
 #: a NULL id comes after all others
 NO_ID = (1 << 63) - 1
 #: entries of a key from which on it counts as heavy
-HEAVY = 64
+HEAVY = 1024
 
 
 def squeeze(data: bytes | np.ndarray) -> bytes:

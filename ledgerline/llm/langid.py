@@ -98,9 +98,13 @@ def fit(sample: list[tuple[str, str]], epochs: int = 6, rate: float = 2.0, seed:
     table = (emb @ out).astype(np.float32)
     temperature, reject = 1.0, 0.5
     if apart and len(languages) > 1:
-        bucket, per_word = subword_runs([w for ws, _ in apart for w in ws], NGRAMS, BUCKETS)
-        per_text = sum_runs(per_word, np.array([len(ws) for ws, _ in apart]))
-        z = sum_runs(table[bucket], per_text) / per_text[:, None] + bias
+        parts = []
+        for at in range(0, len(apart), 32):
+            some = apart[at:at + 32]
+            bucket, per_word = subword_runs([w for ws, _ in some for w in ws], NGRAMS, BUCKETS)
+            per_text = sum_runs(per_word, np.array([len(ws) for ws, _ in some]))
+            parts.append(sum_runs(table[bucket], per_text) / per_text[:, None] + bias)
+        z = np.concatenate(parts)
         y = np.array([k for _, k in apart])
         loss = {t: -np.log(np.maximum(_softmax(z / t)[np.arange(len(y)), y], 1e-12)).mean()
                 for t in (0.1, 0.15, 0.2, 0.3, 0.5, 0.7, 1.0, 1.5, 2.0)}
@@ -188,6 +192,6 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     return docs.mapInArrow(run, docs.schema)
 
 
-def fit_documents(docs: DataFrame, allowed: Column, per_language: int = 1500) -> Model:
+def fit_documents(docs: DataFrame, allowed: Column, per_language: int = 1000) -> Model:
     """Learn from at most ``per_language`` documents of each non-NULL ``lang`` among the rows where ``allowed``."""
     return fit(samples.by_column(docs, F.col("lang").cast("string"), allowed, per_language))

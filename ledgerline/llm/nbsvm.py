@@ -209,6 +209,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
-def fit_documents(docs: DataFrame, labels: DataFrame, allowed: Column, per_class: int = 1500) -> Model:
+def fit_documents(docs: DataFrame, labels: DataFrame, allowed: Column, per_class: int = 1000) -> Model:
     """Learn ``quality`` from at most ``per_class`` labelled documents of each class among the label rows where ``allowed``."""
     return fit(*samples.by_labels(docs, labels, "quality", allowed, per_class))
