@@ -17,11 +17,8 @@ and prints ONE JSON line.  Steps, in the order the reference pipeline runs them:
   are of this kind): daily revenue by vendor / product / country, customer
   purchase frequency, top 10 products, promo analysis, duplicate report
 * ``gold_refresh`` - rebuild and upsert all seven Gold tables as new snapshots
-* ``incremental_batch_recompute_touched`` / ``incremental_batch_delta`` - the last ~10%
-                     of arrivals applied as one batch to an append-only Silver and daily
-                     revenue by vendor: recomputing the touched Gold keys, or moving Gold
-                     by the batch's delta (new winners - demoted winners); ``..._delta_log``
-                     writes only the delta rows (log-structured Gold)
+* ``incremental_batch_delta_log`` - the last ~10% of arrivals appended as one batch to
+                     Silver and to the delta log of daily revenue by vendor
 * ``e2e_daily_revenue_by_vendor`` - raw test tables -> Gold in a single job
 """
 
@@ -42,7 +39,7 @@ from ledgerline.plans import gold_jobs, registry, tables  # noqa: E402
 from ledgerline.plans import silver as S  # noqa: E402
 from ledgerline.session import build_session, scratch_path  # noqa: E402
 from ledgerline.sources import testdata  # noqa: E402
-from ledgerline.streaming import appendonly, delta  # noqa: E402
+from ledgerline.streaming import delta  # noqa: E402
 
 
 def _driver_memory() -> str:
@@ -97,13 +94,11 @@ def main() -> None:
 
     def optimize():
         # files of ~1/(2*cpus) of the table here; 128 MB+ on a cluster
-        size = tables.latest_commit(spark, f"{root}/silver_marked")
         v = tables.latest_version(spark, f"{root}/silver_marked")
         nbytes = maintenance.table_health(spark, tables.version_path(f"{root}/silver_marked", v)).first()
         target = max(1 << 20, nbytes["size_bytes"] // (2 * cpus))
         maintenance.compact(spark, f"{root}/silver_marked", target_bytes=target,
                             zorder_by=["source_vendor", "order_timestamp"])
-        return size
     timed("silver_optimize", optimize)
 
     marked = tables.read(spark, f"{root}/silver_marked")
@@ -125,29 +120,13 @@ def main() -> None:
 
     timed("gold_refresh", lambda: gold_jobs.refresh_all(marked, f"{root}/gold"))
 
-    # incremental: Silver/Gold as of a cut-off (untimed), then one late batch applied
+    # incremental: Silver and the delta logs as of a cut-off (untimed), then one late batch applied
     arrivals = lines.select(F.percentile_approx(F.unix_micros("_ingestion_timestamp"), 0.9).alias("p")).first()["p"]
-    cut = F.timestamp_micros(F.lit(arrivals))
-    inc_root = f"{root}/incremental"
-
-    def build(s):
-        return gold.daily_revenue_by_vendor(s, audit=False)
-    appendonly.apply_batch(f"{inc_root}/silver", lines.filter(F.col("_ingestion_timestamp") <= cut), 1,
-                           f"{inc_root}/gold", ["source_vendor", "order_date"], build)
-    timed("incremental_batch_recompute_touched",
-          lambda: appendonly.apply_batch(f"{inc_root}/silver", lines.filter(F.col("_ingestion_timestamp") > cut),
-                                         2, f"{inc_root}/gold", ["source_vendor", "order_date"], build))
-    dims = ["source_vendor", "order_date"]
-    delta.apply_batch(f"{inc_root}/silver_d", lines.filter(F.col("_ingestion_timestamp") <= cut), 1,
-                      f"{inc_root}/state", dims)
-    timed("incremental_batch_delta",
-          lambda: delta.apply_batch(f"{inc_root}/silver_d", lines.filter(F.col("_ingestion_timestamp") > cut),
-                                    2, f"{inc_root}/state", dims))
-    delta.append_batch(f"{inc_root}/silver_l", lines.filter(F.col("_ingestion_timestamp") <= cut), 1,
-                       f"{inc_root}/log", dims)
+    late = F.coalesce(F.col("_ingestion_timestamp") > F.timestamp_micros(F.lit(arrivals)), F.lit(False))
+    logs = {"vendor_day": delta.LOGS["vendor_day"]}
+    delta.append_batch(f"{root}/incremental", lines.filter(~late), "bench-000001", logs)
     timed("incremental_batch_delta_log",
-          lambda: delta.append_batch(f"{inc_root}/silver_l", lines.filter(F.col("_ingestion_timestamp") > cut),
-                                     2, f"{inc_root}/log", dims))
+          lambda: delta.append_batch(f"{root}/incremental", lines.filter(late), "bench-000002", logs))
     timed("e2e_daily_revenue_by_vendor",
           lambda: _run(registry.QUERIES["daily_revenue_by_vendor"](spark, sf_dir)))
 

@@ -36,43 +36,43 @@ def with_missing(df: DataFrame, columns: Mapping[str, object]) -> DataFrame:
     return df.withColumns(add) if add else df
 
 
-# Whole money text: optional sign, integer part with any thousands marks, then an
-# optional decimal separator followed by one or two digits at the very end.
-_MONEY_PARTS = r"^(-?)([0-9.,]*?)(?:[.,]([0-9]{1,2}))?$"
+_SCIENTIFIC = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]+\s*$"
+_WIDE = T.DecimalType(38, 10)
 
 
-def with_money(df: DataFrame, targets: Mapping[str, ColumnLike], dtype: T.DecimalType = MONEY) -> DataFrame:
-    """Add exact-decimal columns parsed from money text in US or European notation.
+def money(df: DataFrame, c: ColumnLike, notation: str = "dot", dtype: T.DecimalType = MONEY) -> Column:
+    """Exact decimal of a money value, rounded half-up; unparsable text -> NULL.
 
-    ``targets`` maps new column -> source column.  A trailing separator followed by
-    one or two digits is the decimal point; every other '.' or ',' is a thousands
-    mark: ``€24,99`` -> 24.99, ``€1.234,50`` -> 1234.50, ``1,234.50`` -> 1234.50,
-    ``$5`` -> 5.00, ``-3,5`` -> -3.50, ``1.234`` -> 1234; text without digits -> NULL.
-    Numbers rendered in scientific notation (``1.0E7``, numeric sources) cast directly.
+    ``notation`` says how the vendor writes numbers:
 
-    Two regex passes per value: strip everything but digits, separators and sign,
-    then rewrite the whole text as ``<sign><integer part>|<fraction>``; the rest is
-    cheap string functions.  Staged as projections so no pass runs twice (Spark does
-    not re-inline a non-trivial expression that is referenced more than once).
+    * ``dot``   - the dot is the decimal point, commas are thousands marks
+                  (``1,234.50`` -> 1234.50, ``24.990`` -> 24.99);
+    * ``comma`` - a comma, where there is one, is the decimal point and dots are thousands marks;
+                  without a comma a dot is the decimal point (``€1.234,50`` -> 1234.50,
+                  ``EUR 24,99`` -> 24.99, ``24.990`` -> 24.99).
+
+    Currency signs, letters and blanks are dropped first.  Numbers in scientific notation are taken
+    as such only where the whole text is one; numeric columns are cast directly.
     """
-    stage1, stage2, final, temps = {}, {}, {}, []
-    for out, src in targets.items():
-        raw, parts, ip, fp = (f"__{out}_raw", f"__{out}_parts", f"__{out}_int", f"__{out}_frac")
-        temps += [raw, parts, ip, fp]
-        stage1[raw] = _col(src).cast("string")
-        stage1[parts] = F.regexp_replace(F.regexp_replace(_col(src).cast("string"), r"[^0-9.,\-]", ""),
-                                         _MONEY_PARTS, "$1$2|$3")
-        matched = F.col(parts).contains("|")
-        stage2[ip] = F.when(matched, F.translate(F.substring_index(F.col(parts), "|", 1), ".,", ""))
-        stage2[fp] = F.when(matched, F.substring_index(F.col(parts), "|", -1))
-        int_part = F.translate(F.col(ip), "-", "")
-        text = F.concat(
-            F.when(F.col(ip).startswith("-"), F.lit("-")).otherwise(F.lit("")),
-            F.when(int_part == "", F.lit("0")).otherwise(int_part), F.lit("."),
-            F.when(F.col(fp) == "", F.lit("0")).otherwise(F.col(fp)))
-        parsed = F.when((int_part != "") | (F.col(fp) != ""), text.try_cast(dtype))
-        final[out] = F.when(F.upper(F.col(raw)).contains("E"), F.col(raw).try_cast(dtype)).otherwise(parsed)
-    return df.withColumns(stage1).withColumns(stage2).withColumns(final).drop(*temps)
+    col = _col(c)
+    if isinstance(df.select(col).schema[0].dataType, T.NumericType):
+        return col.try_cast(dtype)
+    raw = col.cast("string")
+    digits = F.regexp_replace(raw, r"[^0-9.,\-]", "")
+    if notation == "comma":
+        text = F.when(digits.contains(","), F.translate(digits, ",.", ".")).otherwise(digits)
+    elif notation == "dot":
+        text = F.translate(digits, ",", "")
+    else:
+        raise ValueError(f"notation must be 'dot' or 'comma', not {notation!r}")
+    plain = text.try_cast(_WIDE)
+    return F.when(raw.rlike(_SCIENTIFIC), F.trim(raw).try_cast(_WIDE)).otherwise(plain).try_cast(dtype)
+
+
+def with_money(df: DataFrame, targets: Mapping[str, ColumnLike], notation: str = "dot",
+               dtype: T.DecimalType = MONEY) -> DataFrame:
+    """Add exact-decimal columns: ``targets`` maps new column -> source column (see ``money``)."""
+    return df.withColumns({out: money(df, src, notation, dtype) for out, src in targets.items()})
 
 
 def to_usd(amount: ColumnLike, rate: ColumnLike) -> Column:

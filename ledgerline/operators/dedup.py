@@ -13,9 +13,9 @@ of the job.  Here:
 * ``keep_best`` asks only for rank 1, which Spark plans as a *partial* group limit
   in every map task before the shuffle and a final one after it: a hot key reaches
   the reducer as one row per map task.
-* ``mark_duplicates`` computes those winners (a narrow projection: keys, order
-  columns, row identity), then left-joins all rows to them on key *plus* row
-  identity.  The join key includes the identity, so a hot order key's rows hash to
+* ``mark_duplicates`` writes its input once, computes those winners from a narrow
+  projection of it (keys, order columns, row identity), then left-joins all rows to
+  them on key *plus* row identity.  The join key includes the identity, so a hot order key's rows hash to
   many partitions; no task ever holds a whole group.
 * Rows with a NULL key part are never duplicates; they ride in the same plan as
   groups of one (no second branch, so the input is computed once).
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import OrderSpec, sort_columns, status_priority
+from ledgerline.operators.joins import staged
 from ledgerline.schemas import DUPLICATE_REASON, ORDER_KEYS
 
 FLAG_COLUMNS = ("_is_duplicate", "_duplicate_reason")
@@ -69,14 +70,19 @@ def _identity(df: DataFrame, identity: Sequence[str]) -> list[str]:
 
 def mark_duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
                     order: Sequence[OrderSpec] | None = None,
-                    identity: Sequence[str] = IDENTITY) -> DataFrame:
+                    identity: Sequence[str] = IDENTITY, stage: bool = True) -> DataFrame:
     """Keep every row; add ``_is_duplicate`` and ``_duplicate_reason``.
 
+    The rows are used twice, so they are staged in the shared folder first (``stage=False``
+    for rows that come straight from a stored table).
+
     Exactly one row per key is not a duplicate (the best by ``order``), provided the
     ``identity`` columns (source file, row within it) tell rows apart - which the
     Bronze readers guarantee.  Rows with a NULL key part are never duplicates.
     """
     keys = list(keys)
+    if stage:
+        df = staged(df, "lines")
     order = list(order) if order is not None else business_order(df)
     identity = _identity(df, identity)
     cols = df.columns

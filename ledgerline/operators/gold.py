@@ -133,13 +133,14 @@ def promo_analysis(silver: DataFrame, audit: bool = True) -> DataFrame:
     out = (silver.filter(F.col("promo_code").isNotNull())
            .groupBy("promo_code")
            .agg(F.count("order_id").alias("usage_count"),
-                F.round(F.sum("discount_amt_usd"), 2).cast(MONEY).alias("total_discount_given_usd"),
-                F.round(F.sum("total_amount_usd"), 2).cast(MONEY).alias("total_revenue_with_promo_usd"),
+                _money_sum("discount_amt_usd").alias("total_discount_given_usd"),
+                _money_sum("total_amount_usd").alias("total_revenue_with_promo_usd"),
                 F.sum("total_amount_usd").alias("_sum_total"),
                 F.count("total_amount_usd").alias("_n_total"),
                 F.sum("loyalty_points").alias("total_loyalty_points_awarded"))
            .withColumn("avg_order_value_usd", _ratio("_sum_total", "_n_total"))
-           .drop("_sum_total", "_n_total"))
+           .drop("_sum_total", "_n_total")
+           .orderBy(F.col("usage_count").desc(), F.col("promo_code")))
     return _audit(out, audit)
 
 

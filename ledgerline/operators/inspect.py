@@ -1,20 +1,16 @@
-"""Inspection helpers: schema as rows, bounded previews, observed row counts."""
+"""Inspection helpers: bounded previews and observed row counts."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """(position, column, data_type, nullable) of ``df`` - ``printSchema`` as a DataFrame."""
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, data_type string, nullable boolean")
-
-
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` rows (``SELECT * ... LIMIT n``)."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] = ()) -> DataFrame:
+    """First ``n`` rows (``SELECT * ... LIMIT n``), in the order of ``order_by`` where given."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
 def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

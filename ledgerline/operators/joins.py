@@ -1,29 +1,8 @@
-"""Join helpers: broadcast only behind a size check, with a shuffle join beyond it."""
+"""Intermediate results that are computed once, into the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Row bound under which a key set is shipped to every task instead of shuffling the
-# other (large) side.  Keys here are short (order id + line number, a file path).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (one small ``limit(n+1).count()`` job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if a bounded count proves ``df`` has at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned as is and Spark plans a shuffle join (AQE
-    may still switch to a broadcast after measuring it).  Used for per-batch key sets
-    joined against whole tables, where AQE's own runtime switch would come only after
-    the large side had already been shuffled.
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -33,7 +12,10 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_keys(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise a (small) key set once, then hint it as broadcast if its size check
-    passes - so neither the check nor the joins that use it recompute its lineage."""
-    return bounded_broadcast(materialise(df), max_rows)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back, so that several uses
+    scan the stored columns they need instead of computing the whole frame again."""
+    from ledgerline.session import scratch_path
+    path = scratch_path(df.sparkSession, "staged", name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -91,7 +91,7 @@ def vendor_b(df: DataFrame, sku_map: Mapping[str, str] = SKU_MAP,
         "payment_status": "string", **_LINEAGE_DEFAULTS,
     })
     rate = F.lit(FX_RATES[VENDOR_B_CURRENCY]).cast(RATE)
-    df = with_money(df, {"_unit": "unit_price", "_total": "total_amount", "_vat": "vat_amount"})
+    df = with_money(df, {"_unit": "unit_price", "_total": "total_amount", "_vat": "vat_amount"}, notation="comma")
     df = df.withColumns({"_qty": _int("quantity"), "_unit_usd": to_usd("_unit", rate)})
     qty, unit = F.col("_qty"), F.col("_unit_usd")
     out = df.select(
@@ -168,15 +168,14 @@ def vendor_c(df: DataFrame, fx_rates: Mapping[str, str] = FX_RATES) -> DataFrame
 
 
 def map_sku(lines: DataFrame, sku_map: DataFrame, raw_col: str = "product_sku",
-            code_col: str = "code", sku_col: str = "sku", broadcast_rows: int = 1_000_000) -> DataFrame:
+            code_col: str = "code", sku_col: str = "sku") -> DataFrame:
     """Replace raw product codes by canonical SKUs from a mapping table; unmapped
-    codes pass through.  The map is broadcast only when a bounded count confirms it
-    has at most ``broadcast_rows`` rows; a product master beyond that is joined with a
-    shuffle (AQE may still broadcast it once it has measured it).
+    codes pass through, and a code that maps to several SKUs takes the smallest.  A plain
+    join: Spark broadcasts the map where it has measured it to be small, and splits a hot
+    code's lines otherwise.
     """
-    m = sku_map.select(F.col(code_col).alias("_code"), F.col(sku_col).alias("_sku")).dropDuplicates(["_code"])
-    small = m.limit(broadcast_rows + 1).count() <= broadcast_rows
-    right = F.broadcast(m) if small else m
+    right = (sku_map.groupBy(F.col(code_col).alias("_code")).agg(F.min(sku_col).alias("_sku"))
+             .filter(F.col("_code").isNotNull()))
     joined = lines.join(right, lines[raw_col] == right["_code"], "left")
     return joined.withColumn(raw_col, F.coalesce(F.col("_sku"), F.col(raw_col))).drop("_code", "_sku")
 

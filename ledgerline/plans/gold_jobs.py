@@ -1,4 +1,9 @@
-"""Gold table catalogue and the publish-or-upsert refresh."""
+"""Gold table catalogue and the refresh from a complete Silver.
+
+A refresh rebuilds a table from all of Silver and publishes it as the next version: a key whose
+lines moved elsewhere disappears with the old version.  (Deltas of a batch go through
+``streaming.delta``.)  Rows are sorted inside the files so that scans skip row groups.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ledgerline.operators import gold, merge
+from ledgerline.operators import gold
 from ledgerline.plans import tables
 
 
@@ -16,7 +21,6 @@ class GoldTable:
     name: str
     build: Callable[[DataFrame], DataFrame]   # silver (or marked silver) -> aggregate
     keys: tuple[str, ...]
-    replace: bool = False                     # True: publish the new result as is
     needs_marked: bool = False                # reads all lines incl. duplicates
 
 
@@ -25,24 +29,19 @@ GOLD_TABLES = [
     GoldTable("daily_product_revenue", gold.daily_product_revenue, ("product_sku", "order_date")),
     GoldTable("daily_revenue_by_country", gold.daily_revenue_by_country, ("country_code", "order_date")),
     GoldTable("customer_purchase_frequency", gold.customer_purchase_frequency, ("customer_email",)),
-    # a merge would keep products that fell out of the top 10, so it is replaced
-    GoldTable("product_by_revenue", gold.top_products, ("product_sku",), replace=True),
+    GoldTable("product_by_revenue", gold.top_products, ("product_sku",)),
     GoldTable("promo_analysis", gold.promo_analysis, ("promo_code",)),
     GoldTable("duplicate_analysis_report", gold.duplicate_report, ("source_vendor",), needs_marked=True),
 ]
 
 
 def refresh(spec: GoldTable, marked_silver: DataFrame, root: str) -> int:
-    """Build ``spec`` from Silver and publish it (first run) or upsert it (later runs)."""
+    """Build ``spec`` from Silver and publish it; returns the new version."""
     from ledgerline.operators.dedup import keep_best
     src = marked_silver if spec.needs_marked else keep_best(marked_silver)
-    fresh = spec.build(src)
-    path = f"{root.rstrip('/')}/{spec.name}"
-    spark = marked_silver.sparkSession
-    if spec.replace or not tables.exists(spark, path):
-        return tables.publish(fresh, path, note=spec.name)
-    current = tables.read(spark, path)
-    return tables.publish(merge.upsert(current, fresh, spec.keys), path, note=spec.name)
+    order = ["order_date"] if "order_date" in spec.keys else []
+    return tables.publish(spec.build(src), f"{root.rstrip('/')}/{spec.name}", note=spec.name,
+                          sort_within=order + [k for k in spec.keys if k != "order_date"])
 
 
 def refresh_all(marked_silver: DataFrame, root: str, parallel: int = 4) -> dict[str, int]:

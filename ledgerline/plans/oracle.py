@@ -8,11 +8,21 @@ rounded money value is computed on integer cents with explicit half-up rounding.
 
 from __future__ import annotations
 
-from ledgerline.schemas import (
-    DUPLICATE_REASON, FX_RATES, PAYMENT_MAP_A, PAYMENT_MAP_B, STATUS_DEFAULT_PRIORITY,
-    STATUS_PRIORITY, VENDOR_A, VENDOR_B, VENDOR_C,
-)
-from ledgerline.sources.testdata import PAYMENT_BY_SEGMENT, REGION_VENDOR, STATUS_BY_ORDERSTATUS
+# Fixed values of the contract, stated here on their own: a wrong constant in the code must show.
+VENDOR_A, VENDOR_B, VENDOR_C = "vendor_a", "vendor_b", "vendor_c"
+REGION_VENDOR = {"AMERICA": VENDOR_A, "ASIA": VENDOR_C}
+RATE_100 = {"USD": 100, "EUR": 92, "JPY": 15000, "KRW": 132000}
+STATUS_RANK = {"settled": 1, "completed": 2, "pending": 3}
+OTHER_STATUS_RANK = 2
+DUPLICATE_REASON = "Duplicate order - lower status priority or older timestamp"
+PAYMENT_BY_SEGMENT = {
+    VENDOR_A: {"AUTOMOBILE": "visa", "BUILDING": "mobile_wallet", "FURNITURE": "mobile_wallet",
+               "HOUSEHOLD": "paypal", "MACHINERY": "mastercard"},
+    VENDOR_B: {"AUTOMOBILE": "bank_card", "BUILDING": "visa", "FURNITURE": "paypal",
+               "HOUSEHOLD": "bank_card", "MACHINERY": "sepa_debit"},
+    VENDOR_C: {"AUTOMOBILE": "konbini", "BUILDING": "card", "FURNITURE": "card",
+               "HOUSEHOLD": "konbini", "MACHINERY": "bank_transfer"},
+}
 
 
 def _q(s: str) -> str:
@@ -41,8 +51,7 @@ def money_ratio(sum_expr: str, count_expr: str) -> str:
 
 
 def _rate100(currency_expr: str) -> str:
-    whens = " ".join(f"WHEN {currency_expr} = {_q(k)} THEN {int(round(float(v) * 100))}"
-                     for k, v in FX_RATES.items())
+    whens = " ".join(f"WHEN upper({currency_expr}) = {_q(k)} THEN {v}" for k, v in RATE_100.items())
     return f"CASE {whens} ELSE 100 END"
 
 
@@ -51,28 +60,28 @@ def _usd_cents(local_cents: str, rate100: str) -> str:
 
 
 def _payment_final() -> str:
-    parts = []
-    for vendor, seg_map in PAYMENT_BY_SEGMENT.items():
-        follow = {VENDOR_A: PAYMENT_MAP_A, VENDOR_B: PAYMENT_MAP_B}.get(vendor, {})
-        final = {seg: follow.get(m, m) for seg, m in seg_map.items()}
-        parts.append(f"WHEN vendor = {_q(vendor)} THEN {_case('c_mktsegment', final, _q('other'))}")
+    parts = [f"WHEN vendor = {_q(vendor)} THEN {_case('c_mktsegment', final, _q('other'))}"
+             for vendor, final in PAYMENT_BY_SEGMENT.items()]
     return "CASE " + " ".join(parts) + " END"
 
 
 def _status_prio(expr: str) -> str:
-    whens = " ".join(f"WHEN {expr} = {_q(k)} THEN {v}" for k, v in STATUS_PRIORITY.items())
-    return f"CASE {whens} ELSE {STATUS_DEFAULT_PRIORITY} END"
+    whens = " ".join(f"WHEN {expr} = {_q(k)} THEN {v}" for k, v in STATUS_RANK.items())
+    return f"CASE {whens} ELSE {OTHER_STATUS_RANK} END"
 
 
 def lines_cte() -> str:
     """CTE ``lines``: every canonical line (before dedup), same columns as Spark."""
     vendor = _case("r.r_name", REGION_VENDOR, _q(VENDOR_B))
-    status = _case("o.o_orderstatus", STATUS_BY_ORDERSTATUS, "'completed'")
+    status = ("CASE WHEN l.l_partkey % 17 = 0 THEN 'completed' WHEN l.l_partkey % 13 = 0 THEN 'on-hold' "
+              "WHEN l.l_returnflag = 'R' THEN 'settled' WHEN l.l_returnflag = 'A' THEN 'completed' "
+              "WHEN l.l_returnflag = 'N' THEN 'pending' ELSE 'completed' END")
     return f"""
 facts AS (
   SELECT {vendor} AS vendor,
-         CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_id,
-         CAST(o.o_orderdate AS TIMESTAMP) AS order_ts,
+         row_number() OVER () AS _rid, l.l_partkey AS partkey,
+         CASE WHEN l.l_partkey % 97 <> 0 THEN CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) END AS order_id,
+         CASE WHEN l.l_partkey % 89 <> 0 THEN CAST(CAST(o.o_orderdate AS DATE) + CAST(l.l_suppkey % 3 AS INTEGER) AS TIMESTAMP) END AS order_ts,
          {status} AS status,
          c.c_name AS customer, n.n_name AS country, n.n_nationkey AS nationkey, c.c_mktsegment,
          'SKU-' || CAST(l.l_partkey AS VARCHAR) AS sku,
@@ -92,7 +101,8 @@ f2 AS (
          CASE WHEN qty > 0 THEN {half_up_div('amount_c', 'qty')} END AS unit_c,
          {half_up_div('amount_c * tax100', '100')} AS vat_c,
          CASE vendor WHEN {_q(VENDOR_A)} THEN 'USD' WHEN {_q(VENDOR_B)} THEN 'EUR'
-              ELSE CASE WHEN nationkey % 2 = 0 THEN 'JPY' ELSE 'KRW' END END AS currency,
+              ELSE CASE WHEN partkey % 7 = 0 THEN 'SGD' WHEN partkey % 5 = 1 THEN CASE WHEN nationkey % 2 = 0 THEN 'jpy' ELSE 'krw' END
+                        WHEN nationkey % 2 = 0 THEN 'JPY' ELSE 'KRW' END END AS currency,
          (vendor = {_q(VENDOR_A)} AND l_returnflag = 'R') AS promo,
          {_payment_final()} AS payment_method
   FROM facts
@@ -106,15 +116,22 @@ f4 AS (
          {_usd_cents('unit_c', 'rate100')} AS unit_usd_c
   FROM f3
 ),
+f5 AS (
+  SELECT *, 1 AS line_no,
+         CASE WHEN vendor = {_q(VENDOR_C)} AND partkey % 11 <= 2 THEN NULL ELSE sku END AS item_sku,
+         CASE WHEN vendor = {_q(VENDOR_C)} AND partkey % 11 <= 2 THEN NULL ELSE qty END AS item_qty,
+         CASE WHEN vendor = {_q(VENDOR_C)} AND partkey % 11 <= 2 THEN NULL ELSE unit_usd_c END AS item_unit_c FROM f4
+  UNION ALL
+  SELECT *, 2, sku || '-X', 1, unit_usd_c FROM f4 WHERE vendor = {_q(VENDOR_C)} AND partkey % 11 BETWEEN 3 AND 5
+),
 lines AS (
-  SELECT order_id,
-         1 AS line_number,
-         CASE WHEN vendor = {_q(VENDOR_C)} THEN order_ts ELSE CAST(CAST(order_ts AS DATE) AS TIMESTAMP) END
-           AS order_timestamp,
+  SELECT _rid, order_id,
+         line_no AS line_number,
+         order_ts AS order_timestamp,
          customer AS customer_email,
-         sku AS product_sku,
-         qty AS quantity,
-         {cents_to_money('unit_usd_c')} AS unit_price_usd,
+         item_sku AS product_sku,
+         item_qty AS quantity,
+         {cents_to_money('item_unit_c')} AS unit_price_usd,
          {cents_to_money('total_usd_c')} AS total_amount_usd,
          CASE WHEN promo THEN {cents_to_money(half_up_div('unit_c * qty * pct', '100'))} END AS discount_amt_usd,
          payment_method,
@@ -129,8 +146,8 @@ lines AS (
          vendor || '/orders_' || strftime(arrived, '%Y%m%d') ||
            CASE WHEN vendor = {_q(VENDOR_C)} THEN '.tsv' ELSE '.csv' END AS _source_file,
          status AS payment_status,
-         {cents_to_money('qty * unit_usd_c')} AS line_total_usd
-  FROM f4
+         {cents_to_money('item_qty * item_unit_c')} AS line_total_usd
+  FROM f5
 )"""
 
 
@@ -143,8 +160,8 @@ def silver_ctes(marked: str = "marked", silver: str = "silver", where: str = "",
     """CTEs ``<marked>`` (lines + dedup flags) and ``<silver>`` (winners) over ``lines``."""
     order = RANK_ORDER.format(prio=_status_prio("payment_status"))
     return f"""{marked}_ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY order_id, line_number ORDER BY {order}) AS _rn,
-         count(*) OVER (PARTITION BY order_id, line_number) AS _copies
+  SELECT *, row_number() OVER (PARTITION BY order_id, line_number, CASE WHEN order_id IS NULL THEN _rid END ORDER BY {order}) AS _rn,
+         count(*) OVER (PARTITION BY order_id, line_number, CASE WHEN order_id IS NULL THEN _rid END) AS _copies
   FROM {src} {where}
 ),
 {marked} AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import dedup, normalize
+from ledgerline.operators.joins import staged
 from ledgerline.plans import tables
 from ledgerline.sources import testdata
 
@@ -55,8 +56,19 @@ def test_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(*testdata.vendor_feeds(spark, sf_dir))
 
 
+_STAGED: dict[tuple[str, str], DataFrame] = {}
+
+
+def staged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unified lines, stored once per session and folder for jobs that use them several times."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        _STAGED[key] = staged(test_unified(spark, sf_dir), "lines")
+    return _STAGED[key]
+
+
 def test_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.mark_duplicates(test_unified(spark, sf_dir))
+    return dedup.mark_duplicates(staged_lines(spark, sf_dir), stage=False)
 
 
 def test_silver(spark: SparkSession, sf_dir: str) -> DataFrame:

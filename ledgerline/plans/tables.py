@@ -1,91 +1,46 @@
-"""Snapshot tables on plain Parquet (no table format needed).
-
-A table is a directory ``<root>/v=<n>/`` per published version plus a commit log
-``<root>/commits/v=<n>/`` with one small JSON record per version (written by Spark,
-so it carries Spark's ``_SUCCESS`` marker once complete).  A version becomes
-visible only after its data job has finished and its commit record is written, so
-a job that dies half-way (lost executors, killed driver) leaves an invisible
-directory, never a half-visible table.  Readers take the highest committed version.
-Single writer per table.  Old versions stay readable (time travel) until
-``maintenance.expired_files`` lists them for removal.
-
-Everything goes through Spark's own readers and writers, so the same code works on
-local disk, HDFS or an object store.
+"""Tables on plain Parquet folders.
+
+* A *snapshot* table is ``<root>/v=<n>/`` per published version; readers take the newest
+  folder with Spark's ``_SUCCESS`` marker, so a job that dies half-way stays invisible.
+* An *append-only* table is ``<root>/data/_batch=<id>/`` per batch, committed by the same
+  marker.  A committed batch is never written again: replaying one, whichever it is, changes
+  nothing.  Batches may differ in columns; a read has all of them.
+* ``compact_appended`` rewrites the committed batches into right-sized files (a snapshot under
+  ``<root>/base`` with the list of batches it holds); readers take it and the batches since.
+
+One writer per table at a time.
 """
 
 from __future__ import annotations
 
-import time
+from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_COL = "_batch"
+COVERED_SCHEMA = f"{BATCH_COL} string"
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, via Hadoop's FileSystem API (any Hadoop-compatible store)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:  # no JVM gateway (e.g. a remote client): let the reader decide
-        return True
-
-
-def _fs_committed_versions(spark: SparkSession, root: str) -> list[int] | None:
-    """Committed version numbers from a directory listing (no Spark job); None if the
-    FileSystem API is unavailable."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/commits")
-        fs = base.getFileSystem(conf)
-        if not fs.exists(base):
-            return []
-        out = []
-        for st in fs.listStatus(base):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v=") and \
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-    except Exception:
-        return None
 
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern``, from one listing call to the file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(st.getPath().toString() for st in found or [])
 
-def _commits(spark: SparkSession, root: str) -> DataFrame | None:
-    if not path_exists(spark, f"{root.rstrip('/')}/commits"):
-        return None
-    try:
-        return spark.read.schema("version long, rows long, committed_at double, note string") \
-            .json(f"{root.rstrip('/')}/commits/*")
-    except AnalysisException:
-        return None
 
+# --- snapshot tables -----------------------------------------------------------
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    listed = _fs_committed_versions(spark, root)
-    if listed is not None:
-        return listed[-1] if listed else None
-    c = _commits(spark, root)
-    if c is None:
-        return None
-    try:
-        row = c.agg(F.max("version").alias("v")).first()
-    except AnalysisException:
-        return None
-    return None if row is None or row["v"] is None else int(row["v"])
 
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions, oldest first."""
+    return sorted(int(p.split("/")[-2].removeprefix("v=")) for p in _glob(spark, f"{root.rstrip('/')}/v=*/_SUCCESS"))
 
-def latest_commit(spark: SparkSession, root: str):
-    """The newest commit record (version, rows, committed_at, note) or None."""
-    c = _commits(spark, root)
-    if c is None:
-        return None
-    try:
-        return c.orderBy(F.col("version").desc()).limit(1).first()
-    except AnalysisException:
-        return None
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    found = versions(spark, root)
+    return found[-1] if found else None
 
 
 def version_path(root: str, version: int) -> str:
@@ -99,14 +54,26 @@ def exists(spark: SparkSession, root: str) -> bool:
 def read(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     v = latest_version(spark, root) if version is None else version
     if v is None:
-        raise FileNotFoundError(f"no committed version under {root}")
+        raise FileNotFoundError(f"no complete version under {root}")
     return spark.read.parquet(version_path(root, v))
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of the files below ``path``, read off their folder names."""
+    out: list[str] = []
+    pattern = path.rstrip("/")
+    while True:
+        level = [p.split("/")[-1] for p in _glob(spark, pattern + "/*=*")]
+        if not level:
+            return out
+        out.append(level[0].split("=")[0])
+        pattern += f"/{out[-1]}=*"
+
+
 def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
             sort_within: list[str] | None = None, files: int | None = None,
             note: str = "", rebalance: bool = True) -> int:
-    """Write ``df`` as the next version and commit it; returns the version number.
+    """Write ``df`` as the next version; returns its number.
 
     ``files`` optionally sets the number of output files (round-robin repartition), or
     with ``partition_by`` the number of writer tasks.
@@ -115,6 +82,7 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
     of the data over several tasks (no single task writes a hot date) while merging
     small ones (``rebalance=False`` for a frame the caller already laid out).
     ``sort_within`` sorts inside each file so Parquet row-group statistics can skip data.
+    ``note`` names the job in Spark's event log.
     """
     spark = df.sparkSession
     prev = latest_version(spark, root)
@@ -126,52 +94,89 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
     elif files:
         out = out.repartition(files)
     if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
-    # the row count comes from the write job itself (an observed metric), not a re-read
-    obs = Observation(f"publish_{version}")
-    writer = out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        out = out.sortWithinPartitions(*(partition_by or []), *sort_within)
+    # static: the folder is this version's alone, and gets its marker also when partitioned
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    path = version_path(root, version)
-    writer.parquet(path)
-    rows = int(obs.get.get("rows", 0))
-    commit = spark.createDataFrame([(version, rows, time.time(), note)],
-                                   "version long, rows long, committed_at double, note string")
-    commit.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/commits/v={version:06d}")
+    if note:
+        spark.sparkContext.setJobDescription(f"publish {note}")
+    writer.parquet(version_path(root, version))
+    if note:
+        spark.sparkContext.setJobDescription(None)
     return version
 
 
-# --- Append-only tables: one immutable partition per batch ---------------------
+# --- append-only tables ----------------------------------------------------------
 
-BATCH_COL = "_batch"
 
+def committed(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the committed batches."""
+    return sorted(p.split("/")[-2].removeprefix(f"{BATCH_COL}=") for p in _glob(spark, f"{root.rstrip('/')}/data/{BATCH_COL}=*/_SUCCESS"))
 
-def append(df: DataFrame, root: str, batch_id: int, note: str = "") -> int:
-    """Append ``df`` as batch ``batch_id`` of the append-only table ``root``.
 
-    The batch is written as its own partition ``<root>/data/_batch=<id>`` with dynamic
-    partition overwrite, so retrying a failed batch replaces only its own partial
-    output; readers see it only after its commit record exists.  Nothing already
-    committed is ever rewritten.
-    """
-    spark = df.sparkSession
+def append(df: DataFrame, root: str, batch_id: str | int, partition_by: Sequence[str] = ()) -> int | None:
+    """Append ``df`` as batch ``batch_id``; returns its rows, or None for a batch that is committed already."""
+    spark, batch_id = df.sparkSession, str(batch_id)
+    if batch_id in committed(spark, root):
+        return None
     obs = Observation(f"append_{batch_id}")
-    (df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-       .observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BATCH_COL).parquet(f"{root.rstrip('/')}/data"))
-    rows = int(obs.get.get("rows", 0))
-    commit = spark.createDataFrame([(batch_id, rows, time.time(), note)],
-                                   "version long, rows long, committed_at double, note string")
-    commit.coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/commits/v={batch_id:06d}")
-    return rows
-
-
-def read_appended(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame | None:
-    """All committed batches (optionally only those ``<= upto``); partition pruning
-    keeps uncommitted or later batches out of the scan.  None before the first batch."""
-    last = latest_version(spark, root)
-    if last is None:
+    if partition_by:       # few files a folder; AQE splits a folder with many rows over several writers
+        df = df.hint("rebalance", *partition_by)
+    writer = (df.drop(BATCH_COL).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+              .option("partitionOverwriteMode", "static"))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{root.rstrip('/')}/data/{BATCH_COL}={batch_id}")
+    return int(obs.get.get("rows", 0))
+
+
+def _covered(spark: SparkSession, root: str) -> tuple[int | None, set[str]]:
+    version = latest_version(spark, f"{root.rstrip('/')}/base")
+    if version is None:
+        return None, set()
+    rows = spark.read.schema(COVERED_SCHEMA).parquet(f"{root.rstrip('/')}/covered/v={version:06d}").collect()
+    return version, {r[BATCH_COL] for r in rows}
+
+
+def read_appended(spark: SparkSession, root: str, only: Iterable[str] | None = None,
+                  without: Iterable[str] = ()) -> DataFrame | None:
+    """Rows of the committed batches (of ``only`` these, ``without`` those) with the column ``_batch``.
+
+    Columns are those of all batches together (a batch without one has NULLs in it).  None where no such
+    batch has a row."""
+    root = root.rstrip("/")
+    without = {str(b) for b in without}
+    wanted = [b for b in committed(spark, root) if b not in without and (only is None or b in {str(x) for x in only})]
+    version, covered = _covered(spark, root)
+    parts = []
+    if version is not None and covered & set(wanted):
+        base = spark.read.parquet(version_path(f"{root}/base", version)).withColumn(BATCH_COL, F.col(BATCH_COL).cast("string"))
+        parts.append(base if covered <= set(wanted) else base.filter(F.col(BATCH_COL).isin(sorted(covered & set(wanted)))))
+    # a partitioned batch without rows has no files
+    held = {p.split(f"/{BATCH_COL}=")[1].split("/")[0] for p in
+            _glob(spark, f"{root}/data/{BATCH_COL}=*/part-*") + _glob(spark, f"{root}/data/{BATCH_COL}=*/*=*")}
+    paths = [f"{root}/data/{BATCH_COL}={b}" for b in wanted if b not in covered and b in held]
+    if paths:
+        parts.append(spark.read.option("basePath", f"{root}/data").option("mergeSchema", True).parquet(*paths)
+                     .withColumn(BATCH_COL, F.col(BATCH_COL).cast("string")))
+    out = None
+    for p in parts:
+        out = p if out is None else out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def compact_appended(spark: SparkSession, root: str, sort_within: Sequence[str] = (), files: int | None = None) -> int | None:
+    """Rewrite all committed batches into the files of one snapshot, in the table's own partition layout.
+
+    Readers see the old batches until the snapshot is complete and the snapshot from then on."""
+    root = root.rstrip("/")
+    batches = committed(spark, root)
+    rows = read_appended(spark, root)
+    if rows is None:
         return None
-    bound = last if upto is None else min(last, upto)
-    return spark.read.parquet(f"{root.rstrip('/')}/data").filter(F.col(BATCH_COL) <= F.lit(bound))
+    layout = [c for c in partition_columns(spark, f"{root}/data") if c != BATCH_COL]
+    version = (latest_version(spark, f"{root}/base") or 0) + 1
+    spark.createDataFrame([(b,) for b in batches], COVERED_SCHEMA).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{root}/covered/v={version:06d}")
+    return publish(rows, f"{root}/base", partition_by=layout or None, sort_within=list(sort_within) or None, files=files)

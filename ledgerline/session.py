@@ -6,6 +6,7 @@ folder; we only read it.  Tests and local runs get defaults where nothing is set
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -60,12 +61,18 @@ def build_session(master: str | None = None, app: str = "ledgerline",
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/ledgerline-checkpoints") -> str:
-    """Return the shared checkpoint folder; set ``fallback`` only where none is configured."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    ``fallback`` serves sessions whose executors are threads of this process (master
+    ``local`` or ``local[n]``).  Any other master must name a folder that all executors share.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
+    if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(configured or fallback)
     return sc.getCheckpointDir()
 

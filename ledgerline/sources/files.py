@@ -1,20 +1,20 @@
 """Landing-file readers for the three vendor formats, and the Bronze ingest.
 
-Header drift: a vendor changed its layout mid-stream (column renamed, columns added),
-and old and new files share one folder.  A CSV reader maps columns by *position*, so
-reading both layouts with one schema silently shifts values into the wrong columns.
-Here every data line is parsed with the header of its own file:
-
-1. read the files as text lines with their file path;
-2. header lines are the lines that start with the layout's key column name;
-   only the *distinct* header lines go to the driver (a handful of layouts);
-3. each line is joined to its file's header; the file->header map (one row per file)
-   is broadcast when a bounded count shows it is small, else shuffle-joined;
-4. lines of each layout are parsed with ``from_csv`` and that layout's all-text
-   schema, and the layouts are unioned by column name.
-
-Every value stays text in Bronze; Silver parses.  Lineage columns: source file,
-ingestion time, vendor and a row id unique within the ingest.
+Header drift: a vendor changes its layout mid-stream (columns renamed, added, moved), and old and
+new files share one folder.  A CSV reader maps columns by *position*, so one schema for both shifts
+values into the wrong columns.  Here a file's first line is its header:
+
+1. the files are listed; files that Bronze holds already leave the listing (no content is read);
+2. the first line of each new file is found by one aggregate over the text (one row a file);
+   only the distinct header lines and the new paths come to the driver;
+3. every layout is read once, with its own all-text schema, over its own files, and the layouts are
+   unioned by name.  Names are compared trimmed and without regard to case.
+
+A file without the vendor's key column in its header is never dropped silently: the read fails and
+names it.  Lines that repeat the header inside a file are skipped.
+
+Every value stays text in Bronze (``infer=True`` lets Spark guess types instead); Silver parses.
+Lineage columns: source file, ingestion time, vendor and a row id unique within the ingest.
 """
 
 from __future__ import annotations
@@ -24,66 +24,81 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import bounded_broadcast, materialise
+from ledgerline.schemas import VENDOR_A_V1, VENDOR_A_V2, VENDOR_B_COLUMNS, VENDOR_C_COLUMNS
 
+# vendor -> key column, separator, CSV options and the column names of its layouts
+VENDORS = {
+    "vendor_a": ("order_id", ",", {"quote": '"'}, (*VENDOR_A_V1, *VENDOR_A_V2, "payment_status")),
+    "vendor_b": ("order_id", "|", {"quote": '"'}, (*VENDOR_B_COLUMNS, "payment_status")),
+    "vendor_c": ("order_number", "\t", {"quote": '"', "escape": '"'}, tuple(VENDOR_C_COLUMNS)),
+}
 
-def _csv_options(sep: str, quote: str | None, escape: str | None) -> dict:
-    opts = {"sep": sep}
-    if quote is not None:
-        opts["quote"] = quote
-    if escape is not None:
-        opts["escape"] = escape
-    return opts
 
+class UnknownLayoutError(ValueError):
+    """Landing files whose first line is not a header of the vendor."""
 
-def _split_header(line: str, sep: str, quote: str | None) -> list[str]:
-    names = [p.strip() for p in line.split(sep)]
-    if quote:
-        names = [n[1:-1] if len(n) >= 2 and n[0] == quote and n[-1] == quote else n for n in names]
-    return names
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` of every file under ``path`` (a file, folder or glob), without reading any."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
 
-def read_vendor(spark: SparkSession, path: str, vendor: str, key_col: str, sep: str = ",",
-                quote: str | None = '"', escape: str | None = None) -> DataFrame:
-    """Bronze rows (all text) of every file under ``path`` (a file, folder or glob)."""
-    lines = (spark.read.text(path)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("_source_file")))
-    return parse_vendor_lines(lines, vendor, key_col, sep, quote, escape, where=path)
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``_source_file``, ``_header``: the first line of each file."""
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("_source_file"),
+        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n")).alias("_at"))
+    return lines.groupBy("_source_file").agg(F.min_by("value", "_at").alias("_header"))
 
-def parse_vendor_lines(lines: DataFrame, vendor: str, key_col: str, sep: str = ",",
-                       quote: str | None = '"', escape: str | None = None,
-                       where: str = "the input") -> DataFrame:
-    """Parse raw text lines ``(value, _source_file)`` of whole delimited files into
-    Bronze rows, each line with the header of its own file; adds lineage.
 
-    Works on a batch read and on a streaming micro-batch (a file stream delivers
-    whole files per batch).
-    """
-    is_header = F.col("value").startswith(key_col + sep) | (F.col("value") == key_col)
+def _names(header: str, sep: str, quote: str | None, known: Sequence[str]) -> list[str]:
+    by_lower = {k.lower(): k for k in known}
+    names = [p.strip().strip("﻿") for p in header.rstrip("\r").split(sep)]
     if quote:
-        is_header = is_header | F.col("value").startswith(f"{quote}{key_col}{quote}{sep}")
-    # file -> header map: one row per file, materialised once in the shared checkpoint
-    # folder so the landing files are scanned twice in total (headers, then data)
-    headers = materialise(lines.filter(is_header)
-                          .select("_source_file", F.col("value").alias("_header")).distinct())
-    layouts = [r["_header"] for r in headers.select("_header").distinct().collect()]
-    data = (lines.filter(~is_header & (F.length(F.trim("value")) > 0))
-            .join(bounded_broadcast(headers), "_source_file"))
-    opts = _csv_options(sep, quote, escape)
+        names = [n[1:-1].strip() if len(n) >= 2 and n[0] == quote and n[-1] == quote else n for n in names]
+    return [by_lower.get(n.lower(), n) for n in names]
+
+
+def read_files(spark: SparkSession, paths: Sequence[str], vendor: str, infer: bool = False) -> DataFrame:
+    """Bronze rows of these landing files of ``vendor``, whatever mix of layouts they have."""
+    key, sep, csv, known = VENDORS[vendor]
+    layouts: dict[tuple, list[str]] = {}
+    unknown = []
+    for r in headers(spark, paths).collect():              # one row a file
+        names = tuple(_names(r["_header"] or "", sep, csv.get("quote"), known))
+        if key in names and len(set(names)) == len(names):
+            layouts.setdefault(names, []).append(r["_source_file"])
+        else:
+            unknown.append(r["_source_file"])
+    if unknown:
+        raise UnknownLayoutError(f"{len(unknown)} {vendor} file(s) without a header with '{key}', e.g. {sorted(unknown)[:5]}")
+    if not layouts:
+        raise FileNotFoundError(f"no {vendor} file with a header among {len(paths)} path(s)")
     out = None
-    for header in sorted(layouts):
-        names = _split_header(header, sep, quote)
-        ddl = ", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)
-        part = (data.filter(F.col("_header") == header)
-                .select(F.from_csv("value", ddl, opts).alias("_r"), "_source_file")
-                .select(*[F.col(f"_r.`{n}`").alias(n) for n in names], "_source_file"))
+    for names, files in sorted(layouts.items()):
+        reader = spark.read.option("header", True).option("sep", sep).options(**csv)
+        if infer:
+            part = reader.option("inferSchema", True).csv(sorted(files)).toDF(*names)
+        else:
+            part = reader.schema(", ".join("`{}` STRING".format(n.replace("`", "``")) for n in names)).csv(sorted(files))
+        part = part.withColumn("_source_file", F.col("_metadata.file_path"))
+        again = F.lower(F.trim(F.col(f"`{key}`").cast("string"))) == key.lower()
+        part = part.filter(~F.coalesce(again, F.lit(False)))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        raise FileNotFoundError(f"no {vendor} files with a '{key_col}' header in {where}")
     return add_lineage(out, vendor)
 
 
+def read_vendor(spark: SparkSession, path: str, vendor: str, infer: bool = False) -> DataFrame:
+    """Bronze rows of every file under ``path``."""
+    return read_files(spark, [r["path"] for r in list_files(spark, path).collect()], vendor, infer)
+
+
+def parse_vendor_lines(batch: DataFrame, vendor: str) -> DataFrame:
+    """Bronze rows of the files of a streaming micro-batch (as many as its trigger allows)."""
+    found = [r["_source_file"] for r in batch.select("_source_file").distinct().collect()]
+    return read_files(batch.sparkSession, found, vendor)
+
+
 def add_lineage(df: DataFrame, vendor: str) -> DataFrame:
     """Ingestion time, vendor tag and a row id (unique within this ingest job).
 
@@ -97,24 +112,37 @@ def add_lineage(df: DataFrame, vendor: str) -> DataFrame:
 
 
 def read_vendor_a(spark: SparkSession, path: str) -> DataFrame:
-    return read_vendor(spark, path, "vendor_a", "order_id", sep=",")
+    return read_vendor(spark, path, "vendor_a")
 
 
 def read_vendor_b(spark: SparkSession, path: str) -> DataFrame:
-    return read_vendor(spark, path, "vendor_b", "order_id", sep="|")
+    return read_vendor(spark, path, "vendor_b")
 
 
 def read_vendor_c(spark: SparkSession, path: str) -> DataFrame:
-    return read_vendor(spark, path, "vendor_c", "order_number", sep="\t", quote='"', escape='"')
+    return read_vendor(spark, path, "vendor_c")
 
 
-def only_new(incoming: DataFrame, loaded: DataFrame, on: Sequence[str] = ("_source_file",)) -> DataFrame:
-    """Rows of ``incoming`` whose file (or other key) is not loaded yet: a replay guard.
+def new_files(listing: DataFrame, loaded: DataFrame | None) -> DataFrame:
+    """The listed files that no row of ``loaded`` (Bronze) came from: a replay guard on paths alone."""
+    if loaded is None:
+        return listing
+    held = loaded.select(F.regexp_replace("_source_file", "^[a-z0-9]+:/+", "/").alias("_file")).distinct()
+    plain = listing.withColumn("_file", F.regexp_replace("path", "^[a-z0-9]+:/+", "/"))
+    return plain.join(held, "_file", "left_anti").select("path")
 
-    A left anti join; only the distinct keys of ``loaded`` are shuffled.
-    """
-    keys = list(on)
-    return incoming.join(bounded_broadcast(loaded.select(*keys).distinct()), keys, "left_anti")
+
+def ingest(spark: SparkSession, landing: str, vendor: str, bronze: str) -> int:
+    """Append the landing folder's new files to the append-only Bronze table; returns the rows appended.
+
+    Nothing that Bronze holds is read (but its file names) or written again.  A new column of a later
+    layout is NULL in the earlier batches."""
+    from ledgerline.plans import tables
+    todo = [r["path"] for r in new_files(list_files(spark, landing), tables.read_appended(spark, bronze)).collect()]
+    if not todo:
+        return 0
+    batch = f"{vendor}-{len(tables.committed(spark, bronze)) + 1:06d}"
+    return tables.append(read_files(spark, todo, vendor), bronze, batch) or 0
 
 
 def write_vendor_files(df: DataFrame, path: str, columns: Sequence[str], sep: str = ",",

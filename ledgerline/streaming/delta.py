@@ -1,28 +1,38 @@
-"""Additive (delta) maintenance of the revenue-style Gold tables.
-
-Revenue, counts and discount are sums, so a batch changes a Gold key by exactly
-``aggregate(new winners of the touched orders) - aggregate(old winners of them)``.
-The Gold *state* keeps, next to each sum, the count of values it summed (so an
-all-NULL sum stays NULL, as in a full rebuild) and the number of lines (a key whose
-lines are all gone disappears).  Per batch the work is proportional to the batch:
-the touched orders' old and new winners, one small aggregate, and a join with the
-Gold state - independent of how many Gold keys or days the batch touches.  This is
-the documented "aggregate the new rows and MERGE into Gold", corrected: the delta is
-added (and the demoted winners subtracted) instead of overwriting the sums.
+"""Gold kept up to date by the deltas of its batches.
+
+Revenue, counts and discounts are sums, so a batch changes a Gold key by exactly
+``aggregate(new winners of the touched orders) - aggregate(old winners of them)``.  A batch
+appends its lines to Silver and, for every Gold table, its delta rows to that table's log;
+the current table is the sum of the log.  Next to each sum the log keeps the number of values
+summed (an all-NULL sum stays NULL) and the number of lines (a key whose lines are all gone
+disappears).
+
+* Silver is laid out in ``BUCKETS`` folders by the order id's hash.  A batch reads only the
+  buckets of its own orders (at most ``BUCKETS`` numbers come to the driver), once, for the
+  winners with and without it.
+* Lines without a full order key are never duplicates: they only add, and are not read again.
+* A batch is known by its source and number (``vendor_a-000001``).  Replaying a committed
+  batch, the newest or an earlier one, changes nothing; a batch that died between its writes
+  is finished by its replay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup, gold
-from ledgerline.operators.joins import small_keys
+from ledgerline.operators.joins import materialise
 from ledgerline.plans import tables
 from ledgerline.schemas import MONEY, ORDER_KEYS
 
+BUCKETS = 64
+BUCKET_COL = "_bucket"
+NO_BUCKET = -1     # lines without an order id
+
 # measure -> (value expression, kind); "sum" keeps (sum, non-null count), "count" a count
 REVENUE_MEASURES = {
     "total_amount_usd": (lambda: F.col("total_amount_usd"), "sum"),
@@ -34,10 +44,36 @@ PROMO_MEASURES = {
     **REVENUE_MEASURES,
     "total_loyalty_points_awarded": (lambda: F.col("loyalty_points").cast("long"), "sum"),
 }
-_MEASURES = REVENUE_MEASURES
+# of all lines received, for the duplicate report: the winners' share is subtracted
+RECEIVED_MEASURES = {
+    "received_amount_usd": (lambda: F.col("total_amount_usd"), "sum"),
+    "received": (lambda: F.lit(1).cast("long"), "count"),
+}
+
+
+@dataclass(frozen=True)
+class Log:
+    """A Gold table's delta log: its keys and what it sums."""
+
+    dims: tuple[str, ...]
+    measures: dict
+
+
+LOGS = {
+    "vendor_day": Log(("source_vendor", "order_date"), REVENUE_MEASURES),
+    "product_day": Log(("product_sku", "order_date"), REVENUE_MEASURES),
+    "country_day": Log(("country_code", "order_date"), REVENUE_MEASURES),
+    "customer": Log(("customer_email",), REVENUE_MEASURES),
+    "promo": Log(("promo_code",), PROMO_MEASURES),
+    "received": Log(("source_vendor",), RECEIVED_MEASURES),
+}
+
 
+def batch_name(source: str, number: int) -> str:
+    return f"{source}-{number:06d}"
 
-def _signed_parts(df: DataFrame, sign: int, measures: dict = REVENUE_MEASURES) -> list[Column]:
+
+def _signed(df: DataFrame, sign: int, measures: dict) -> list[Column]:
     cols = []
     for name, (expr, kind) in measures.items():
         v = expr()
@@ -49,206 +85,153 @@ def _signed_parts(df: DataFrame, sign: int, measures: dict = REVENUE_MEASURES) -
     return cols
 
 
-def _aggregate(rows: DataFrame, dims: Sequence[str], measures: dict = REVENUE_MEASURES) -> DataFrame:
-    aggs = []
-    for name, (_, kind) in measures.items():
-        if kind == "sum":
-            aggs += [F.sum(f"{name}__s").alias(f"{name}__s"), F.sum(f"{name}__n").alias(f"{name}__n")]
+def _parts(lines: DataFrame, log: Log, sign: int) -> DataFrame:
+    return lines.select(*[gold._dim(d) for d in log.dims], *_signed(lines, sign, log.measures))
+
+
+def _summed(rows: DataFrame, dims: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*dims).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in dims])
+
+
+def bucket(order_id: Column | str = "order_id") -> Column:
+    c = F.col(order_id) if isinstance(order_id, str) else order_id
+    return F.when(c.isNull(), F.lit(NO_BUCKET)).otherwise(F.pmod(F.xxhash64(c), F.lit(BUCKETS)).cast("int"))
+
+
+def _has_key(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def append_batch(root: str, batch: DataFrame, batch_id: str, logs: dict[str, Log] | None = None,
+                 keys: Sequence[str] = ORDER_KEYS) -> bool:
+    """Append ``batch`` (canonical lines) to Silver at ``<root>/silver`` and its delta to every log
+    ``<root>/log/<name>``.  Returns False where all of it had been committed before."""
+    spark = batch.sparkSession
+    logs = LOGS if logs is None else logs
+    keys = list(keys)
+    silver, paths = f"{root.rstrip('/')}/silver", {n: f"{root.rstrip('/')}/log/{n}" for n in logs}
+    logged = {n: set(tables.committed(spark, paths[n])) for n in logs}
+    open_logs = [n for n in logs if batch_id not in logged[n]]
+    # deltas add up only in the order of their batches
+    unfinished = {b for b in tables.committed(spark, silver) for n in logs if b not in logged[n]} - {batch_id}
+    if open_logs and unfinished:
+        raise RuntimeError(f"batches {sorted(unfinished)} are not finished: append them again first")
+    fresh = tables.append(batch.withColumn(BUCKET_COL, bucket()), silver, batch_id, [BUCKET_COL]) is not None
+    if not open_logs:
+        return fresh
+    mine = tables.read_appended(spark, silver, only=[batch_id])
+    if mine is None:                                   # a batch without lines
+        mine = batch.limit(0).withColumn(BUCKET_COL, F.lit(NO_BUCKET)).withColumn(tables.BATCH_COL, F.lit(batch_id))
+    has_key = _has_key(keys)
+    touched = mine.filter(has_key).select(*keys).distinct()
+    numbers = [r[BUCKET_COL] for r in mine.filter(has_key).select(BUCKET_COL).distinct().collect()]
+    # the touched orders' lines of all batches, from their buckets only, kept for both rankings
+    held = tables.read_appended(spark, silver)
+    around = (mine if held is None else held).filter(F.col(BUCKET_COL).isin(numbers)).join(touched, keys, "left_semi")
+    around = materialise(around)
+    drop = [BUCKET_COL, tables.BATCH_COL]
+    new = dedup.keep_best(around.drop(*drop))
+    old = dedup.keep_best(around.filter(F.col(tables.BATCH_COL) != batch_id).drop(*drop))
+    loose = mine.filter(~has_key).drop(*drop)
+    for name in open_logs:
+        log = logs[name]
+        if log.measures is RECEIVED_MEASURES:
+            rows = _parts(mine.drop(*drop), log, 1)
         else:
-            aggs.append(F.sum(f"{name}__c").alias(f"{name}__c"))
-    return rows.groupBy(*dims).agg(*aggs)
+            rows = (_parts(new, log, 1).unionByName(_parts(old, log, -1))
+                    .unionByName(_parts(loose.select(*new.columns), log, 1)))
+        # AQE gathers the (small) sums into few files
+        tables.append(_summed(rows, log.dims).hint("rebalance"), paths[name], batch_id)
+    return True
+
+
+def state(spark: SparkSession, root: str, name: str, logs: dict[str, Log] | None = None) -> DataFrame:
+    """Current sums of a Gold table: its log added up (keys without lines are gone)."""
+    log = (LOGS if logs is None else logs)[name]
+    rows = tables.read_appended(spark, f"{root.rstrip('/')}/log/{name}")
+    if rows is None:
+        raise FileNotFoundError(f"no batch has been appended under {root}")
+    out = _summed(rows.drop(tables.BATCH_COL), log.dims)
+    return out.filter(F.col("_lines__c") > 0) if "_lines" in log.measures else out
+
 
+def fold(spark: SparkSession, root: str, name: str, logs: dict[str, Log] | None = None) -> int:
+    """Add up a log's batches into one snapshot (run now and then, as a compaction)."""
+    log = (LOGS if logs is None else logs)[name]
+    path = f"{root.rstrip('/')}/log/{name}"
+    batches = tables.committed(spark, path)
+    rows = _summed(tables.read_appended(spark, path).drop(tables.BATCH_COL), log.dims)
+    version = (tables.latest_version(spark, f"{path}/base") or 0) + 1
+    spark.createDataFrame([(b,) for b in batches], tables.COVERED_SCHEMA).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{path}/covered/v={version:06d}")
+    return tables.publish(rows.withColumn(tables.BATCH_COL, F.lit("folded")), f"{path}/base")
 
-def state(silver: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Gold state (sums with their value counts, line count) of deduplicated lines."""
-    with_dims = silver.select(*[gold._dim(d) for d in dims], *_signed_parts(silver, 1))
-    return _aggregate(with_dims, dims)
+
+# --- the Gold tables as a full rebuild would publish them ---------------------------
+
+
+def _money(name: str) -> Column:
+    return F.when(F.col(f"{name}__n") > 0, F.col(f"{name}__s")).cast(MONEY)
 
 
 def present(st: DataFrame, dims: Sequence[str], duplicate_count: bool = True) -> DataFrame:
-    """The Gold table as a full rebuild would publish it (``revenue_by`` columns)."""
-    def s(name):
-        return F.when(F.col(f"{name}__n") > 0, F.col(f"{name}__s")).cast(MONEY)
-    out = st.select(
-        *dims,
-        s("total_amount_usd").alias("total_amount_usd"),
-        F.col("order_count__c").cast("long").alias("order_count"),
-        s("total_discount_usd").alias("total_discount_usd"),
-    )
+    """``revenue_by`` columns of a state."""
+    out = st.select(*dims, _money("total_amount_usd").alias("total_amount_usd"),
+                    F.col("order_count__c").cast("long").alias("order_count"),
+                    _money("total_discount_usd").alias("total_discount_usd"))
     out = out.withColumn("avg_order_value_usd", gold._ratio("total_amount_usd", "order_count"))
     return out.withColumn("duplicate_count", F.lit(0)) if duplicate_count else out
 
 
-def apply_delta(st: DataFrame, old_winners: DataFrame, new_winners: DataFrame,
-                dims: Sequence[str], broadcast_rows: int = 2_000_000) -> DataFrame:
-    """State + aggregate(new_winners) - aggregate(old_winners); emptied keys dropped.
-
-    The delta has at most one row per Gold key the batch touches.  When a bounded
-    count shows it is small, the state is updated with one map-side pass (state LEFT
-    JOIN broadcast(delta)) and the delta keys that matched nothing are appended: the
-    state is scanned, never shuffled.  Otherwise a full outer join is used.
-    """
-    from ledgerline.operators.joins import bounded_broadcast, fits, materialise
-    dims = list(dims)
-    parts = (new_winners.select(*[gold._dim(d) for d in dims], *_signed_parts(new_winners, 1))
-             .unionByName(old_winners.select(*[gold._dim(d) for d in dims], *_signed_parts(old_winners, -1))))
-    delta = materialise(_aggregate(parts, dims))
-    small = fits(delta, broadcast_rows)
-    d = delta.select(*[F.col(c).alias(f"_d_{c}") for c in delta.columns])
-    if small:
-        d = F.broadcast(d)
-    on = None
-    for k in dims:
-        c = F.col(k).eqNullSafe(F.col(f"_d_{k}"))
-        on = c if on is None else on & c
-    measures = [c for c in st.columns if c not in dims]
-
-    def added(c):
-        return (F.coalesce(F.col(c), F.lit(0)) + F.coalesce(F.col(f"_d_{c}"), F.lit(0))).alias(c)
-    if small:
-        updated = st.join(d, on, "left").select(*dims, *[added(c) for c in measures])
-        matched = (st.select(*dims).join(d, on, "inner")
-                   .select(*[F.col(f"_d_{k}").alias(f"_m_{k}") for k in dims]).distinct())
-        mon = None
-        for k in dims:
-            c = F.col(f"_d_{k}").eqNullSafe(F.col(f"_m_{k}"))
-            mon = c if mon is None else mon & c
-        new_keys = (d.join(bounded_broadcast(matched, broadcast_rows), mon, "left_anti")
-                    .select(*[F.col(f"_d_{k}").alias(k) for k in dims],
-                            *[F.col(f"_d_{c}").alias(c) for c in measures]))
-        out = updated.unionByName(new_keys)
-    else:
-        j = st.join(d, on, "full_outer")
-        out = j.select(*[F.coalesce(F.col(k), F.col(f"_d_{k}")).alias(k) for k in dims],
-                       *[added(c) for c in measures])
-    return out.filter(F.col("_lines__c") > 0)
-
-
-def apply_batch(root: str, batch: DataFrame, batch_id: int, state_root: str, dims: Sequence[str],
-                keys: Sequence[str] = ORDER_KEYS) -> int:
-    """Append ``batch`` to the append-only Silver at ``root`` and move the Gold state
-    at ``state_root`` by the batch's delta; idempotent per ``batch_id`` (a replay is
-    recomputed from the state published before it)."""
-    spark = batch.sparkSession
-    keys = list(keys)
-    prev = tables.latest_commit(spark, state_root)
-    before = tables.read_appended(spark, root, upto=batch_id - 1)
-    tables.append(batch, root, batch_id, note=f"batch={batch_id}")
-    after = tables.read_appended(spark, root, upto=batch_id).drop(tables.BATCH_COL)
-    if prev is not None and prev["note"] == f"batch={batch_id}":
-        base_version = prev["version"] - 1            # replay: start from the state before it
-    else:
-        base_version = prev["version"] if prev is not None else 0
-    if before is None or base_version == 0:
-        return tables.publish(state(dedup.keep_best(after), dims), state_root, note=f"batch={batch_id}")
-    before = before.drop(tables.BATCH_COL)
-    no_null = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        no_null = c if no_null is None else no_null & c
-    touched = small_keys(batch.filter(no_null).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
-
-    def of_touched(df):
-        on = None
-        for k in keys:
-            c = F.col(k) == F.col(f"_k_{k}")
-            on = c if on is None else on & c
-        return dedup.keep_best(df.join(touched, on, "left_semi"))
-    # lines with a NULL key part are never duplicates: the batch's own ones simply add
-    new_winners = of_touched(after).unionByName(batch.filter(~no_null).select(*after.columns))
-    moved = apply_delta(tables.read(spark, state_root, base_version), of_touched(before), new_winners, dims)
-    return tables.publish(moved, state_root, note=f"batch={batch_id}")
-
-
-# --- Log-structured variant: per batch only the delta rows are written ------------
-
-
-def batch_delta(before: DataFrame | None, batch: DataFrame, after: DataFrame, dims: Sequence[str],
-                keys: Sequence[str] = ORDER_KEYS, measures: dict = REVENUE_MEASURES) -> DataFrame:
-    """Signed measure rows (one per touched Gold key) that move Gold from ``before`` to
-    ``after`` = ``before`` + ``batch`` (both deduplicated on read)."""
-    keys, dims = list(keys), list(dims)
-    no_null = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        no_null = c if no_null is None else no_null & c
-    touched = small_keys(batch.filter(no_null).select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct())
-
-    def of_touched(df):
-        on = None
-        for k in keys:
-            c = F.col(k) == F.col(f"_k_{k}")
-            on = c if on is None else on & c
-        return dedup.keep_best(df.join(touched, on, "left_semi"))
-    new_w = of_touched(after).unionByName(batch.filter(~no_null).select(*after.columns))
-    parts = new_w.select(*[gold._dim(d) for d in dims], *_signed_parts(new_w, 1, measures))
-    if before is not None:
-        old_w = of_touched(before)
-        parts = parts.unionByName(old_w.select(*[gold._dim(d) for d in dims],
-                                               *_signed_parts(old_w, -1, measures)))
-    return _aggregate(parts, dims, measures)
-
-
-def append_batch(root: str, batch: DataFrame, batch_id: int, log_root: str, dims: Sequence[str],
-                 keys: Sequence[str] = ORDER_KEYS, measures: dict = REVENUE_MEASURES) -> int:
-    """Append ``batch`` to the append-only Silver and its Gold delta to the delta log
-    (both as partition ``batch_id``; a replay overwrites its own partitions).  Nothing
-    else is written: per-batch output is proportional to the batch."""
-    spark = batch.sparkSession
-    before = tables.read_appended(spark, root, upto=batch_id - 1)
-    tables.append(batch, root, batch_id, note=f"batch={batch_id}")
-    after = tables.read_appended(spark, root, upto=batch_id).drop(tables.BATCH_COL)
-    if before is not None:
-        before = before.drop(tables.BATCH_COL)
-    return tables.append(batch_delta(before, batch, after, dims, keys, measures), log_root, batch_id,
-                         note=f"batch={batch_id}")
-
-
-def state_from_log(spark, log_root: str, dims: Sequence[str], base_root: str | None = None) -> DataFrame:
-    """Current Gold state = folded base (if any) + every logged delta after it, summed
-    per Gold key (a partial-aggregated shuffle on the Gold keys only)."""
-    dims = list(dims)
-    folded_upto = 0
-    parts = None
-    if base_root is not None and tables.exists(spark, base_root):
-        folded_upto = int(tables.latest_commit(spark, base_root)["note"].split("=")[1])
-        parts = tables.read(spark, base_root)
-    log = tables.read_appended(spark, log_root)
-    if log is not None:
-        log = log.filter(F.col(tables.BATCH_COL) > F.lit(folded_upto)).drop(tables.BATCH_COL)
-        parts = log if parts is None else parts.unionByName(log)
-    sums = [F.sum(c).alias(c) for c in parts.columns if c not in dims]
-    return parts.groupBy(*dims).agg(*sums).filter(F.col("_lines__c") > 0)
-
-
-def fold(spark, log_root: str, base_root: str, dims: Sequence[str]) -> int:
-    """Compact the log into a new base snapshot (run periodically, like a compaction)."""
-    upto = tables.latest_version(spark, log_root)
-    return tables.publish(state_from_log(spark, log_root, dims, base_root), base_root, note=f"upto={upto}")
-
-
-def top_products_from_state(st: DataFrame, n: int = 10) -> DataFrame:
-    """Top-``n`` products by revenue from a (product_sku, order_date) state - summed per
-    product over the (small) state instead of rescanning Silver."""
-    def money(name):
-        return F.when(F.sum(f"{name}__n") > 0, F.sum(f"{name}__s")).cast(MONEY)
-    return (st.groupBy("product_sku")
-            .agg(money("total_amount_usd").alias("total_amount_usd"),
-                 money("total_discount_usd").alias("total_discount_usd"))
+def top_products(st: DataFrame, n: int = 10) -> DataFrame:
+    """Top-``n`` products by revenue from a (product, day) state."""
+    return (_summed(st.drop("order_date"), ["product_sku"])
+            .select("product_sku", _money("total_amount_usd").alias("total_amount_usd"),
+                    _money("total_discount_usd").alias("total_discount_usd"))
             .orderBy(F.col("total_amount_usd").desc_nulls_last(), F.col("product_sku").asc_nulls_last())
             .limit(n))
 
 
 def present_promo(st: DataFrame) -> DataFrame:
-    """Promo analysis (per non-NULL promo code) from a ``PROMO_MEASURES`` state."""
-    def s(name, dtype=MONEY):
-        return F.when(F.col(f"{name}__n") > 0, F.col(f"{name}__s")).cast(dtype)
+    """Promo analysis (per non-NULL promo code)."""
     return (st.filter(F.col("promo_code").isNotNull())
             .select("promo_code",
                     F.col("order_count__c").cast("long").alias("usage_count"),
-                    s("total_discount_usd").alias("total_discount_given_usd"),
-                    s("total_amount_usd").alias("total_revenue_with_promo_usd"),
+                    _money("total_discount_usd").alias("total_discount_given_usd"),
+                    _money("total_amount_usd").alias("total_revenue_with_promo_usd"),
                     F.round(F.try_divide(F.col("total_amount_usd__s"),
                                          F.col("total_amount_usd__n").cast("decimal(20,0)")), 2)
                     .cast(MONEY).alias("avg_order_value_usd"),
-                    s("total_loyalty_points_awarded", "long").alias("total_loyalty_points_awarded")))
+                    F.when(F.col("total_loyalty_points_awarded__n") > 0, F.col("total_loyalty_points_awarded__s"))
+                    .cast("long").alias("total_loyalty_points_awarded"))
+            .orderBy(F.col("usage_count").desc(), F.col("promo_code")))
+
+
+def present_duplicates(received: DataFrame, vendor_day: DataFrame) -> DataFrame:
+    """Duplicate report: what was received less what won, per vendor."""
+    won = _summed(vendor_day.drop("order_date"), ["source_vendor"])
+    j = received.join(won.withColumnRenamed("source_vendor", "_v"), F.col("source_vendor").eqNullSafe(F.col("_v")), "left")
+
+    def zero(c):
+        return F.coalesce(F.col(c), F.lit(0))
+    return j.select("source_vendor", F.col("received__c").alias("total_rows"),
+                    (F.col("received__c") - zero("_lines__c")).alias("duplicate_count"),
+                    (zero("received_amount_usd__s") - zero("total_amount_usd__s")).cast(MONEY).alias("revenue_impact_usd"))
+
+
+def gold_tables(spark: SparkSession, root: str, n: int = 10) -> dict[str, DataFrame]:
+    """All seven Gold tables from the logs under ``root``."""
+    vendor = state(spark, root, "vendor_day")
+    product = state(spark, root, "product_day")
+    return {
+        "daily_revenue_by_vendor": present(vendor, LOGS["vendor_day"].dims),
+        "daily_product_revenue": present(product, LOGS["product_day"].dims),
+        "daily_revenue_by_country": present(state(spark, root, "country_day"), LOGS["country_day"].dims, duplicate_count=False),
+        "customer_purchase_frequency": present(state(spark, root, "customer"), LOGS["customer"].dims, duplicate_count=False),
+        "product_by_revenue": top_products(product, n),
+        "promo_analysis": present_promo(state(spark, root, "promo")),
+        "duplicate_analysis_report": present_duplicates(state(spark, root, "received"), vendor),
+    }

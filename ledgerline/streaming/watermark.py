@@ -1,52 +1,39 @@
-"""Control table holding each pipeline's high-water mark.
+"""Control table: which batches of a source each pipeline has processed.
 
-``read`` returns the last processed ingestion time of a pipeline (None before the
-first run); ``pending`` selects the lines that arrived after it, up to an optional
-bound; ``advance`` records a new mark and is called only after the batch's Silver
-and Gold publishes succeeded, so a failed run is simply repeated.
-
-The mark is on *ingestion* time, not order time: a late copy of an old order still
-arrives after the mark and is picked up (an order-time mark would skip it).
-The control table is a snapshot table with one row per pipeline.
+A clock value as a mark loses rows without an arrival time and rows whose job started before
+the mark moved but committed after it.  The mark is therefore the set of processed batch ids:
+``pending`` has every committed batch that is not in it, ``advance`` is called after the
+batch's own writes have succeeded, so a failed run is simply repeated.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.plans import tables
 
-SCHEMA = "pipeline string, high_water timestamp, updated_at timestamp"
-
-
-def read(spark: SparkSession, control_root: str, pipeline: str) -> dt.datetime | None:
-    if not tables.exists(spark, control_root):
-        return None
-    row = (tables.read(spark, control_root).filter(F.col("pipeline") == pipeline)
-           .agg(F.max("high_water").alias("m")).first())
-    return None if row is None else row["m"]
-
-
-def pending(lines: DataFrame, mark: dt.datetime | None, upto: str | None = None,
-            col: str = "_ingestion_timestamp") -> DataFrame:
-    """Lines with ``mark < col <= upto`` (pushed down to the scan as a range filter)."""
-    out = lines
-    if mark is not None:
-        out = out.filter(F.col(col) > F.lit(mark))
-    if upto is not None:
-        out = out.filter(F.col(col) <= F.lit(upto).cast("timestamp"))
-    return out
-
-
-def advance(spark: SparkSession, control_root: str, pipeline: str, mark) -> int:
-    """Publish the control table with ``pipeline``'s mark set to ``mark``."""
-    new = spark.createDataFrame([(pipeline, None, None)], SCHEMA).select(
-        "pipeline", F.lit(mark).cast("timestamp").alias("high_water"),
-        F.current_timestamp().alias("updated_at"))
-    if tables.exists(spark, control_root):
-        old = tables.read(spark, control_root).filter(F.col("pipeline") != pipeline)
-        new = old.unionByName(new)
-    return tables.publish(new.coalesce(1), control_root, note=f"{pipeline}={mark}")
+SCHEMA = "pipeline string, done string, updated_at timestamp"
+
+
+def processed(spark: SparkSession, control_root: str, pipeline: str) -> set[str]:
+    """Batches that ``pipeline`` has processed."""
+    rows = tables.read_appended(spark, control_root)
+    if rows is None:
+        return set()
+    return {r["done"] for r in rows.filter(F.col("pipeline") == pipeline).select("done").distinct().collect()}
+
+
+def pending(spark: SparkSession, source_root: str, control_root: str, pipeline: str, upto: str | None = None) -> list[str]:
+    """Committed batches of the append-only table ``source_root`` that are still to do (``upto`` this id)."""
+    done = processed(spark, control_root, pipeline)
+    return [b for b in tables.committed(spark, source_root) if b not in done and (upto is None or b <= upto)]
+
+
+def advance(spark: SparkSession, control_root: str, pipeline: str, batches: Iterable[str]) -> None:
+    """Record ``batches`` as processed by ``pipeline``."""
+    for b in batches:
+        row: DataFrame = spark.createDataFrame([(pipeline, b, None)], SCHEMA).withColumn("updated_at", F.current_timestamp())
+        tables.append(row.coalesce(1), control_root, f"{pipeline}.{b}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup, gold, maintenance
 from ledgerline.plans import tables
-from ledgerline.streaming.incremental import apply_batch, refresh_gold
+from ledgerline.streaming import delta
 from conftest import rows
 
 SCHEMA = ("order_id string, line_number int, order_timestamp timestamp, country_code string, "
@@ -19,33 +19,79 @@ def _batch(spark, data, f):
     return spark.createDataFrame([(*d, f, i) for i, d in enumerate(data)], SCHEMA)
 
 
-def test_incremental_equals_full_rebuild(spark, tmp_dir):
-    d = lambda day: datetime(2024, 1, day)
-    b1 = _batch(spark, [("X", 1, d(2), "JP", "vendor_c", Decimal("10.00"), None, "completed", d(10)),
-                        ("Y", 1, d(3), "KR", "vendor_c", Decimal("5.00"), None, "pending", d(10)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("1.00"), None, "pending", d(10))], "f1")
-    # a late settled copy of X on another day demotes the published winner: day 2 vanishes
-    b2 = _batch(spark, [("X", 1, d(1), "JP", "vendor_c", Decimal("12.00"), None, "settled", d(11)),
-                        ("Z", 1, d(3), "KR", "vendor_c", Decimal("7.00"), None, "completed", d(11)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("2.00"), None, "pending", d(11))], "f2")
-    dims = ["country_code", "order_date"]
-
-    def build(silver):
-        return gold.daily_revenue_by_country(silver, audit=False)
-    root = f"{tmp_dir}/inc"
-    m1, t1 = apply_batch(None, b1)
-    m1 = tables.read(spark, f"{root}/s", tables.publish(m1, f"{root}/s"))
-    g1 = build(dedup.keep_best(m1).drop(*dedup.FLAG_COLUMNS))
-    g1 = tables.read(spark, f"{root}/g", tables.publish(g1, f"{root}/g"))
-    m2, t2 = apply_batch(m1, b2)
-    m2 = tables.read(spark, f"{root}/s", tables.publish(m2, f"{root}/s"))
-    g2 = refresh_gold(g1, m1, m2, t2, dims, build)
-    full = build(dedup.keep_best(b1.unionByName(b2)))
-    assert rows(g2) == rows(full)
-    assert g2.filter(F.col("order_date") == F.lit("2024-01-02").cast("date")).count() == 0
-    # replaying batch 2 changes nothing
-    m3, t3 = apply_batch(m2, b2)
-    assert t3.count() == 0 and m3.count() == m2.count()
+D = lambda day: datetime(2024, 1, day)
+B1 = [("X", 1, D(2), "JP", "vendor_c", Decimal("10.00"), None, "completed", D(10)),
+      ("Y", 1, D(3), "KR", "vendor_c", Decimal("5.00"), Decimal("1.00"), "pending", D(10)),
+      (None, 1, D(4), "KR", "vendor_c", Decimal("1.00"), None, "pending", D(10))]
+# late settled copies: X moves to another day (day 2 vanishes), Y loses its discount; a line without an id
+# falls on a key that no other line of the batch touches
+B2 = [("X", 1, D(1), "JP", "vendor_c", Decimal("12.00"), None, "settled", D(11)),
+      ("Y", 1, D(3), "KR", "vendor_c", Decimal("5.00"), None, "settled", D(11)),
+      (None, 1, D(4), "KR", "vendor_c", Decimal("2.00"), None, "pending", None)]
+B3 = [("X", 1, D(1), "JP", "vendor_c", Decimal("11.00"), None, "pending", D(12)),
+      ("Z", 1, D(3), "KR", "vendor_c", Decimal("7.00"), Decimal("0.50"), "completed", D(12))]
+LOGS = {"country_day": delta.LOGS["country_day"]}
+
+
+def _country(spark, root):
+    return delta.present(delta.state(spark, root, "country_day"), LOGS["country_day"].dims, duplicate_count=False)
+
+
+def _rebuilt(*batches):
+    lines = batches[0]
+    for b in batches[1:]:
+        lines = lines.unionByName(b)
+    return gold.daily_revenue_by_country(dedup.keep_best(lines), audit=False)
+
+
+def test_delta_log_equals_full_rebuild_under_replays(spark, tmp_dir):
+    root = f"{tmp_dir}/lake"
+    b1, b2, b3 = (_batch(spark, b, f"f{i}") for i, b in enumerate((B1, B2, B3)))
+    assert delta.append_batch(root, b1, "s-000001", LOGS)
+    assert delta.append_batch(root, b2, "s-000002", LOGS)
+    got = _country(spark, root)
+    assert rows(got) == rows(_rebuilt(b1, b2))
+    assert got.filter(F.col("order_date") == F.lit("2024-01-02").cast("date")).count() == 0
+    assert got.filter("order_date = date'2024-01-04'").first()["total_amount_usd"] == Decimal("3.00")
+    assert delta.append_batch(root, b3, "s-000003", LOGS)
+    for again in ("s-000001", "s-000002", "s-000003"):               # any replay, also of an earlier batch
+        assert not delta.append_batch(root, b1, again, LOGS)
+    assert rows(_country(spark, root)) == rows(_rebuilt(b1, b2, b3))
+    delta.fold(spark, root, "country_day", LOGS)
+    assert rows(_country(spark, root)) == rows(_rebuilt(b1, b2, b3))
+    delta.append_batch(root, b2.withColumn("_source_file", F.lit("f9")), "s-000004", LOGS)
+    assert rows(_country(spark, root)) == rows(_rebuilt(b1, b2, b3, b2.withColumn("_source_file", F.lit("f9"))))
+
+
+def test_batch_reads_only_its_buckets(spark, tmp_dir):
+    root = f"{tmp_dir}/b"
+    tables.append(_batch(spark, B1, "f").withColumn(delta.BUCKET_COL, delta.bucket()), root, 1, [delta.BUCKET_COL])
+    plan = tables.read_appended(spark, root).filter(F.col(delta.BUCKET_COL).isin([3]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_bucket" in plan.split("PartitionFilters")[1][:80]
+
+
+def test_append_only_table(spark, tmp_dir):
+    root = f"{tmp_dir}/ao"
+    assert tables.read_appended(spark, root) is None
+    assert tables.append(spark.range(3).withColumn("p", F.lit(1)), root, "b1", ["p"]) == 3
+    assert tables.append(spark.range(5).withColumn("p", F.lit(1)), root, "b1", ["p"]) is None      # committed already
+    assert tables.append(spark.range(0).withColumn("p", F.lit(1)), root, "b2", ["p"]) == 0         # an empty batch
+    # a batch that died before its commit is not read; its replay replaces it
+    spark.range(100).withColumn("p", F.lit(2)).write.partitionBy("p").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") \
+        .parquet(f"{root}/data/_batch=b3")
+    tables.append(spark.range(7, 9).withColumns({"p": F.lit(2), "extra": F.lit("x")}), root, "b4", ["p"])
+    assert sorted(r["id"] for r in tables.read_appended(spark, root).collect()) == [0, 1, 2, 7, 8]
+    tables.append(spark.range(9, 10).withColumn("p", F.lit(3)), root, "b3", ["p"])
+    df = tables.read_appended(spark, root)
+    assert df.filter("extra IS NULL").count() == 4 and tables.committed(spark, root) == ["b1", "b2", "b3", "b4"]
+    before = rows(df, "id", "p", "extra", "_batch")
+    assert tables.compact_appended(spark, root) == 1
+    assert rows(tables.read_appended(spark, root), "id", "p", "extra", "_batch") == before
+    assert tables.partition_columns(spark, f"{root}/base/v=000001") == ["p"]
+    tables.append(spark.range(20, 21).withColumn("p", F.lit(1)), root, "b5", ["p"])
+    assert tables.read_appended(spark, root).count() == len(before) + 1
+    assert tables.read_appended(spark, root, without=["b1"]).count() == len(before) - 2
+    assert tables.append(spark.range(5).withColumn("p", F.lit(1)), root, "b1", ["p"]) is None
 
 
 def test_snapshot_versions(spark, tmp_dir):
@@ -55,7 +101,9 @@ def test_snapshot_versions(spark, tmp_dir):
     assert tables.publish(spark.range(7), root) == 2
     assert tables.read(spark, root).count() == 7
     assert tables.read(spark, root, 1).count() == 5
-    assert tables.latest_commit(spark, root)["rows"] == 7
+    # a version whose job died is invisible
+    spark.range(9).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(tables.version_path(root, 3))
+    assert tables.latest_version(spark, root) == 2
 
 
 def test_compaction_preserves_rows_and_cuts_files(spark, tmp_dir):
@@ -68,15 +116,13 @@ def test_compaction_preserves_rows_and_cuts_files(spark, tmp_dir):
     report = maintenance.compact(spark, root, zorder_by=["g", "s"]).first()
     assert report["files_before"] == 40 and report["files_after"] == 1
     assert rows(tables.read(spark, root)) == rows(df)
-    expired = maintenance.expired_files(spark, root, retention_hours=0)
-    assert expired.count() == 40 and rows(expired.select("version").distinct()) == [(1,)]
     assert maintenance.vacuum(spark, root, retention_hours=0, dry_run=True) == [1]
 
 
 def test_zorder_key_orders_by_interleaved_buckets(spark):
     df = spark.range(1000).select((F.col("id") % 32).alias("a"), (F.col("id") / 32).cast("long").alias("b"))
-    z = df.select("a", "b", maintenance.zorder_key(df, ["a", "b"], bits=5).alias("z"))
-    got = {(r["a"], r["b"]): r["z"] for r in z.collect()}
+    z = maintenance.with_zorder(df, ["a", "b"], bits=5).select("a", "b", "_z")
+    got = {(r["a"], r["b"]): r["_z"] for r in z.collect()}
     assert got[(0, 0)] < got[(1, 1)] < got[(31, 30)]
     # monotone in each column with the other fixed (bucket bits interleave)
     for b in range(31):
@@ -111,59 +157,29 @@ def test_promo_filter_pushed_to_parquet(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(promo_code)]" in plan
 
 
-def test_watermark_control_table(spark, tmp_dir):
+def test_control_table(spark, tmp_dir):
     from ledgerline.streaming import watermark
-    root = f"{tmp_dir}/control"
-    assert watermark.read(spark, root, "p") is None
-    lines = spark.createDataFrame([(datetime(2024, 1, d),) for d in (1, 2, 3, 4)], "_ingestion_timestamp timestamp")
-    first = watermark.pending(lines, None, "2024-01-02")
-    assert first.count() == 2
-    watermark.advance(spark, root, "p", datetime(2024, 1, 2))
-    watermark.advance(spark, root, "other", datetime(2030, 1, 1))
-    mark = watermark.read(spark, root, "p")
-    assert mark == datetime(2024, 1, 2)
-    assert watermark.pending(lines, mark).count() == 2
-
-
-def test_append_only_incremental_equals_full_rebuild(spark, tmp_dir):
-    from ledgerline.streaming import appendonly
-    d = lambda day: datetime(2024, 1, day)
-    b1 = _batch(spark, [("X", 1, d(2), "JP", "vendor_c", Decimal("10.00"), None, "completed", d(10)),
-                        ("Y", 1, d(3), "KR", "vendor_c", Decimal("5.00"), None, "pending", d(10)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("1.00"), None, "pending", d(10))], "f1")
-    b2 = _batch(spark, [("X", 1, d(1), "JP", "vendor_c", Decimal("12.00"), None, "settled", d(11)),
-                        ("Z", 1, d(3), "KR", "vendor_c", Decimal("7.00"), None, "completed", d(11)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("2.00"), None, "pending", d(11))], "f2")
-
-    def build(silver):
-        return gold.daily_revenue_by_country(silver, audit=False)
-    dims = ["country_code", "order_date"]
-    for bid, b in [(1, b1), (2, b2), (2, b2)]:          # the last one replays batch 2
-        appendonly.apply_batch(f"{tmp_dir}/s", b, bid, f"{tmp_dir}/g", dims, build)
-    got = tables.read(spark, f"{tmp_dir}/g")
-    assert rows(got) == rows(build(dedup.keep_best(b1.unionByName(b2))))
-    assert got.filter(F.col("order_date") == F.lit("2024-01-02").cast("date")).count() == 0
-    assert tables.read_appended(spark, f"{tmp_dir}/s").count() == 6   # nothing rewritten or doubled
-
-
-def test_delta_gold_equals_full_rebuild(spark, tmp_dir):
-    from ledgerline.streaming import delta
-    d = lambda day: datetime(2024, 1, day)
-    b1 = _batch(spark, [("X", 1, d(2), "JP", "vendor_c", Decimal("10.00"), None, "completed", d(10)),
-                        ("Y", 1, d(3), "KR", "vendor_c", Decimal("5.00"), Decimal("1.00"), "pending", d(10)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("1.00"), None, "pending", d(10))], "f1")
-    b2 = _batch(spark, [("X", 1, d(1), "JP", "vendor_c", Decimal("12.00"), None, "settled", d(11)),
-                        ("Y", 1, d(3), "KR", "vendor_c", Decimal("5.00"), None, "settled", d(11)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("2.00"), None, "pending", d(11))], "f2")
-    dims = ["country_code", "order_date"]
-    for bid, b in [(1, b1), (2, b2), (2, b2)]:          # the last one replays batch 2
-        delta.apply_batch(f"{tmp_dir}/s", b, bid, f"{tmp_dir}/st", dims)
-    got = delta.present(tables.read(spark, f"{tmp_dir}/st"), dims, duplicate_count=False)
-    want = gold.daily_revenue_by_country(dedup.keep_best(b1.unionByName(b2)), audit=False)
-    assert rows(got) == rows(want)
-    # the settled copy of Y has no discount: the key's discount sum becomes NULL again
-    kr = got.filter("country_code = 'KR'").first()
-    assert kr["total_discount_usd"] is None and kr["order_count"] == 1   # NULL order ids are not counted
+    source, control = f"{tmp_dir}/src", f"{tmp_dir}/control"
+    assert watermark.pending(spark, source, control, "p") == []
+    for i in (1, 2, 3):
+        # arrival times play no part: a batch without any, or committed late, is found by its id
+        tables.append(spark.createDataFrame([(i, None)], "id int, _ingestion_timestamp timestamp"), source, f"s-{i:06d}")
+    assert watermark.pending(spark, source, control, "p", upto="s-000002") == ["s-000001", "s-000002"]
+    watermark.advance(spark, control, "p", ["s-000002"])
+    watermark.advance(spark, control, "other", ["s-000001", "s-000003"])
+    assert watermark.pending(spark, source, control, "p") == ["s-000001", "s-000003"]
+    watermark.advance(spark, control, "p", ["s-000002"])                 # recorded once
+    assert watermark.processed(spark, control, "p") == {"s-000002"}
+
+
+def test_zorder_of_text_lets_filters_skip_files(spark, tmp_dir):
+    root = f"{tmp_dir}/zs"
+    df = spark.range(20000).select("id", F.concat(F.lit("c"), F.lpad((F.col("id") * 7919 % 50).cast("string"), 2, "0")).alias("country"))
+    tables.publish(df, root, files=16)
+    size = maintenance.table_health(spark, tables.version_path(root, 1)).first()["size_bytes"]
+    maintenance.compact(spark, root, target_bytes=size // 16, zorder_by=["country", "id"])
+    before, after = (maintenance.files_to_read(spark, root, "country", "c07", v) for v in (1, 2))
+    assert before == 16 and after <= 8
 
 
 def test_partitioned_compaction_keeps_rows_and_partitions(spark, tmp_dir):
@@ -172,28 +188,8 @@ def test_partitioned_compaction_keeps_rows_and_partitions(spark, tmp_dir):
     df = spark.range(5000).select("id", F.when(F.col("id") < 4000, F.lit(0)).otherwise(F.col("id") % 7).alias("day"),
                                   (F.col("id") % 13).alias("g"))
     tables.publish(df, root, partition_by=["day"])
-    report = maintenance.compact(spark, root, zorder_by=["day", "g"], partition_by=["day"]).first()
+    report = maintenance.compact(spark, root, zorder_by=["day", "g"]).first()
     assert report["clustered_by"] == "g"                      # the partition column is dropped from Z-order
     assert rows(tables.read(spark, root).select("id", "day", "g")) == rows(df)
     h = maintenance.table_health(spark, tables.version_path(root, report["version_after"])).first()
     assert h["partition_columns"] == ["day"]
-
-
-def test_delta_log_with_fold_equals_full_rebuild(spark, tmp_dir):
-    from ledgerline.streaming import delta
-    d = lambda day: datetime(2024, 1, day)
-    b1 = _batch(spark, [("X", 1, d(2), "JP", "vendor_c", Decimal("10.00"), None, "completed", d(10)),
-                        ("Y", 1, d(3), "KR", "vendor_c", Decimal("5.00"), Decimal("1.00"), "pending", d(10))], "f1")
-    b2 = _batch(spark, [("X", 1, d(1), "JP", "vendor_c", Decimal("12.00"), None, "settled", d(11))], "f2")
-    b3 = _batch(spark, [("Y", 1, d(3), "KR", "vendor_c", Decimal("5.00"), None, "settled", d(12)),
-                        (None, 1, d(3), "KR", "vendor_c", Decimal("2.00"), None, "pending", d(12))], "f3")
-    dims = ["country_code", "order_date"]
-    delta.append_batch(f"{tmp_dir}/s", b1, 1, f"{tmp_dir}/log", dims)
-    delta.append_batch(f"{tmp_dir}/s", b2, 2, f"{tmp_dir}/log", dims)
-    delta.fold(spark, f"{tmp_dir}/log", f"{tmp_dir}/base", dims)
-    for _ in range(2):                                     # batch 3 and its replay
-        delta.append_batch(f"{tmp_dir}/s", b3, 3, f"{tmp_dir}/log", dims)
-    got = delta.present(delta.state_from_log(spark, f"{tmp_dir}/log", dims, f"{tmp_dir}/base"), dims,
-                        duplicate_count=False)
-    want = gold.daily_revenue_by_country(dedup.keep_best(b1.unionByName(b2).unionByName(b3)), audit=False)
-    assert rows(got) == rows(want)

@@ -119,13 +119,19 @@ def test_vendor_c_fixture(spark, tmp_dir):
 
 def test_money_parsing(spark):
     from ledgerline.functions.columns import with_money
-    cases = [("€24,99", "24.99"), ("€1.234,50", "1234.50"), ("1,234.50", "1234.50"), ("$5", "5.00"),
-             ("-3,5", "-3.50"), ("1.234", "1234.00"), ("abc", None), (None, None), ("24.99", "24.99"),
-             ("1.0E7", "10000000.00"), (" 7 ", "7.00"), ("€ 0,05", "0.05")]
-    df = spark.createDataFrame([(a,) for a, _ in cases], "raw string")
-    got = dict((r["raw"], r["m"]) for r in with_money(df, {"m": "raw"}).collect())
-    for raw, want in cases:
-        assert got[raw] == (Decimal(want) if want is not None else None), raw
+    both = [("abc", None), (None, None), ("24.99", "24.99"), ("24.990", "24.99"), ("19.999", "20.00"), ("1.0E7", "10000000.00"),
+            (" 7 ", "7.00"), ("-3.5", "-3.50"), ("24.99 EUR", "24.99"), ("0.005", "0.01"), ("$5", "5.00"), ("1234.5678", "1234.57")]
+    cases = {"dot": both + [("1,234.50", "1234.50"), ("$1,234,567.5", "1234567.50")],
+             "comma": both + [("€24,99", "24.99"), ("€1.234,50", "1234.50"), ("-3,5", "-3.50"), ("€ 0,05", "0.05"), ("EUR 24,99", "24.99"),
+                              ("1.234", "1.23")]}
+    for notation, pairs in cases.items():
+        df = spark.createDataFrame([(a,) for a, _ in pairs], "raw string")
+        got = dict((r["raw"], r["m"]) for r in with_money(df, {"m": "raw"}, notation).collect())
+        for raw, want in pairs:
+            assert got[raw] == (Decimal(want) if want is not None else None), (notation, raw)
+    numbers = spark.createDataFrame([(0.005, Decimal("24.995")), (24.990000000000002, None)], "d double, n decimal(18,3)")
+    got = with_money(numbers, {"a": "d", "b": "n"}).collect()
+    assert [(r["a"], r["b"]) for r in got] == [(Decimal("0.01"), Decimal("25.00")), (Decimal("24.99"), None)]
 
 
 def test_unify_schema_is_canonical(spark, tmp_dir):
@@ -146,3 +152,46 @@ def test_reader_odd_header_names_and_crlf(spark, tmp_dir):
     got = rows(df, "order_id", "Order Date (US)", "unit price")
     assert got == [("A1", "01/15/2024", "10.50"), ("A2", "02/28/2024", "1,234.50")]
     assert df.select("_source_row").distinct().count() == 2
+
+
+def test_reader_moved_columns_and_repeated_headers(spark, tmp_dir):
+    """Layouts differ in order and case; a file may repeat its header; no row is lost or doubled."""
+    _write(f"{tmp_dir}/m/orders_1.csv", "order_date,order_id,quantity\n01/15/2024,A1,1\n")
+    _write(f"{tmp_dir}/m/orders_2.csv", "Order_ID, Quantity ,order_date\nA2,2,01/16/2024\nOrder_ID, Quantity ,order_date\nA3,3,01/17/2024\n")
+    _write(f"{tmp_dir}/m/orders_3.csv", "order_id,order_date,quantity\nA4,01/18/2024,4\nA5,01/19/2024,5\n")
+    df = files.read_vendor_a(spark, f"{tmp_dir}/m/*.csv")
+    assert rows(df, "order_id", "quantity", "order_date") == [
+        (f"A{i}", str(i), f"01/{14 + i}/2024") for i in range(1, 6)]
+
+
+def test_unknown_layout_is_named(spark, tmp_dir):
+    import pytest
+    _write(f"{tmp_dir}/u/orders_1.csv", "order_id,quantity\nA1,1\n")
+    _write(f"{tmp_dir}/u/orders_2.csv", "A2,2\nA3,3\n")
+    with pytest.raises(files.UnknownLayoutError, match="orders_2.csv"):
+        files.read_vendor_a(spark, f"{tmp_dir}/u/*.csv")
+
+
+def test_ingest_appends_new_files_only(spark, tmp_dir):
+    from ledgerline.plans import tables
+    land, bronze = f"{tmp_dir}/in", f"{tmp_dir}/bronze"
+    _write(f"{land}/orders_1.csv", A_V1)
+    assert files.ingest(spark, land, "vendor_a", bronze) == 4
+    assert files.ingest(spark, land, "vendor_a", bronze) == 0
+    _write(f"{land}/orders_2.csv", A_V2)
+    assert files.ingest(spark, land, "vendor_a", bronze) == 1
+    df = tables.read_appended(spark, bronze)
+    assert df.count() == 5 and {"email", "customer_email", "loyalty_points"} <= set(df.columns)
+    assert df.filter("email IS NOT NULL").count() == 1 and df.filter("customer_email IS NOT NULL").count() == 2
+
+
+def test_inferred_types(spark, tmp_dir):
+    _write(f"{tmp_dir}/i/orders_1.csv", A_V1)
+    df = files.read_vendor(spark, f"{tmp_dir}/i/*.csv", "vendor_a", infer=True)
+    assert dict(df.dtypes)["quantity"] == "int" and df.count() == 4
+
+
+def test_code_with_two_skus_takes_the_smallest(spark):
+    lines = spark.createDataFrame([("a",), ("b",), (None,)], "product_sku string")
+    m = spark.createDataFrame([("a", "S2"), ("a", "S1"), (None, "S9")], "code string, sku string")
+    assert sorted(str(r[0]) for r in normalize.map_sku(lines, m).collect()) == ["None", "S1", "b"]
