@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import scratch_path
 
 #: bytes of text that a task holds at once (one longer document is a block of its own)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-Documents are indexed in shards of about ``BLOCK_BYTES`` of text: for each word of a shard, the sorted word
+Documents are indexed in shards of about ``SHARD_BYTES`` of text: for each word of a shard, the sorted word
 positions where it stands (difference-coded bytes), and for the shard itself its documents' ids and
 lengths.  A hot word is thus split over all shards, and a posting list is never longer than its shard.
 The index is stored as a Parquet table in the shared folder.
@@ -21,8 +21,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BLOCK_BYTES, narrow, stored, text_blocks
+from ledgerline.llm.common import narrow, stored, text_blocks
 
+#: bytes of text in a shard of the index
+SHARD_BYTES = 8 << 20
 #: bytes of test items searched in one pass over the index (bounds what is sent to every task)
 ITEM_BYTES = 4 << 20
 INDEX_SCHEMA = "shard long, word binary, doc_ids array<long>, postings binary"
@@ -102,7 +104,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The stored index: a row for each word of a shard, and one (``word`` NULL) with the shard's documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 24
-        for k, (ids, texts) in enumerate(text_blocks(batches, BLOCK_BYTES // 2)):
+        for k, (ids, texts) in enumerate(text_blocks(batches, SHARD_BYTES)):
             yield from _shard_rows(part + k, ids, texts)
 
     return stored(narrow(docs, id_col, text_col).mapInArrow(run, INDEX_SCHEMA), "positional_index")

@@ -35,6 +35,7 @@ CHAR_BUCKETS, CHAR_NGRAMS = 1 << 18, (5, 6, 7, 8)
 CHAR_ROWS = 4096  # learned vectors of n-grams, shared by their buckets
 SHRINK = 10  # texts that a log-odds value is shrunk by
 WORD = re.compile(r"\w+")
+WORDS_AT_ONCE = 1 << 14  # distinct words whose n-grams are held at once
 F32 = np.float32
 
 
@@ -165,9 +166,15 @@ def _mean_runs(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _inputs(p, word_rows: np.ndarray, spelled: list[str]) -> np.ndarray:
     """Input vectors of distinct words."""
-    bucket, count = subword_runs(spelled, CHAR_NGRAMS, CHAR_BUCKETS)
-    return np.concatenate((p["words"][word_rows], _mean_runs(p["chars"][bucket % CHAR_ROWS], count), p["word_odds"][word_rows][:, None],
-                           _max_runs(p["char_odds"][bucket], count)[:, None]), axis=1)
+    out = np.empty((len(spelled), WORD_DIM + CHAR_DIM + 2), F32)
+    for at in range(0, len(spelled), WORDS_AT_ONCE):
+        part = slice(at, at + WORDS_AT_ONCE)
+        bucket, count = subword_runs(spelled[part], CHAR_NGRAMS, CHAR_BUCKETS)
+        out[part, :WORD_DIM] = p["words"][word_rows[part]]
+        out[part, WORD_DIM:-2] = _mean_runs(p["chars"][bucket % CHAR_ROWS], count)
+        out[part, -2] = p["word_odds"][word_rows[part]]
+        out[part, -1] = _max_runs(p["char_odds"][bucket], count)
+    return out
 
 
 def _grid(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -255,6 +262,8 @@ def fit(sample: list[tuple[str, int]], share: float | None = None, epochs: int =
         x = _inputs(p | fixed, row, spelled)
         return _window_logits(p, x @ p["w_f"] + p["g_f"], x @ p["w_b"] + p["g_b"], idx, real)
 
+    # few texts are gone through more often
+    epochs = max(epochs, min(40, 800 * 64 // max(1, min(len(train_all), per_text * len(runs)))))
     for epoch in range(epochs):
         chosen = train_all
         if epoch:
