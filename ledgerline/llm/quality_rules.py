@@ -30,7 +30,7 @@ N_COMMON = 12
 CHAR_CLASSES = (("space", r"[\x20\x09-\x0D]+"), ("lower", r"[a-z]+"), ("upper", r"[A-Z]+"), ("digit", r"[0-9]+"),
                 ("stop", r"[.,;:!?'\"()-]+"), ("sign", r"[\x21-\x7E]+"))
 MAX_CHAR_DISTANCE, MIN_CHARS = 0.22, 200
-MAX_WORD_DISTANCE, MIN_WORDS = 0.40, 60
+MAX_WORD_DISTANCE, MIN_WORDS = 0.29, 60
 SPACE = r"\x20\x09-\x0D"
 
 
