@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import narrow, row_blocks
+from ledgerline.llm.common import give_back, narrow, row_blocks
 from ledgerline.session import scratch_path
 
 #: bytes of text in a block, and of text whose keys meet in one bucket
@@ -74,6 +74,14 @@ def store_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return spark.table(name)
 
 
+def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as dictionaries, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {name: batch.column(j)[k].as_py() for j, name in enumerate(batch.schema.names)}
+            give_back()
+
+
 def bucket_count(blocks: DataFrame) -> int:
     """Buckets that keys are dealt to, in proportion to the text."""
     total = blocks.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
@@ -125,6 +133,7 @@ def shared_keys(entries: DataFrame) -> DataFrame:
     """``block``, ``keys``, ``heavy`` from rows of ``bucket, block, keys``: of each block its keys that several documents
     share, and one byte for each that tells the heavy ones (in very many blocks)."""
     def meet(table: pa.Table) -> pa.Table:
+        give_back()
         own = [np.frombuffer(v.as_py(), dtype="<u8") for v in table.column("keys")]
         keys, counts = np.unique(np.concatenate(own), return_counts=True)
         keys, counts = keys[counts > 1], counts[counts > 1]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -11,16 +12,36 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
 
+_LIBC = ctypes.CDLL(None)
+
 #: bytes of text that a task holds at once (one longer document is a block of its own)
 BLOCK_BYTES = 6 << 20
 
 
+#: rows in an Arrow batch: documents are long, and a batch is held twice on its way to Python
+BATCH_ROWS = "1000"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Let the session send rows to Python in batches of ``BATCH_ROWS``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on between tasks, and what its allocator
+    keeps adds up with the other workers of its executor."""
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id (long) and the text; extra columns, whatever their names, play no part."""
+    small_batches(docs)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
@@ -57,11 +78,14 @@ def row_blocks(batches: Iterable[pa.RecordBatch], text: str, max_bytes: int = BL
             if held + n > max_bytes and (parts or i > at):
                 yield pa.Table.from_batches(parts + [batch.slice(at, i - at)])
                 parts, held, at = [], 0, i
+                give_back()
             held += n
         if at < batch.num_rows:
             parts.append(batch.slice(at))
     if parts:
         yield pa.Table.from_batches(parts)
+        del parts
+        give_back()
 
 
 def text_blocks(batches: Iterable[pa.RecordBatch], max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[list, list[bytes | None]]]:
@@ -78,8 +102,11 @@ def text_blocks(batches: Iterable[pa.RecordBatch], max_bytes: int = BLOCK_BYTES)
             if texts and held + n > max_bytes:
                 yield ids, texts
                 ids, texts, held = [], [], 0
+                give_back()
             ids.append(i)
             texts.append(t)
             held += n
     if texts:
         yield ids, texts
+        del ids, texts
+        give_back()

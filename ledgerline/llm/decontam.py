@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import narrow, stored, text_blocks
+from ledgerline.llm.common import give_back, narrow, stored, text_blocks
 
 #: bytes of text in a shard of the index
 SHARD_BYTES = 8 << 20
@@ -173,6 +173,7 @@ def _find_block(index: DataFrame, spark, block: list[tuple], width: int, slop: i
     terms = spark.createDataFrame([(bytearray(w),) for w in wanted], "word binary")
 
     def search(table: pa.Table) -> pa.Table:
+        give_back()
         wins, item_ids = shared.value
         word = table.column("word").to_pylist()
         data = table.column("postings")

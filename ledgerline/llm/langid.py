@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import samples
-from ledgerline.llm.common import narrow, row_blocks, text_blocks
+from ledgerline.llm.common import narrow, row_blocks, small_batches, text_blocks
 from ledgerline.llm.subwords import subword_runs, sum_runs
 
 BUCKETS = 1 << 15
@@ -175,6 +175,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text the model does not reject."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
