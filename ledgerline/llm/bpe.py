@@ -26,7 +26,7 @@ from ledgerline.llm.common import narrow, text_blocks
 
 NO_RANK = np.int64(1) << 40
 #: text encoded at once; the symbol arrays of a block take about twenty times as much
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
