@@ -57,7 +57,8 @@ def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     url, html = F.col(url_col), F.col(html_col)
     canonical = F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1)
     refresh = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1)
-    both = pages.where(html.contains("canonical") | F.lower(html).contains("refresh")).select(url.alias("a"), F.explode(F.array(resolve(canonical, url), resolve(refresh, url))).alias("b"))
+    text = F.lower(html)      # the patterns hold in any case
+    both = pages.where(text.contains("canonical") | text.contains("refresh")).select(url.alias("a"), F.explode(F.array(resolve(canonical, url), resolve(refresh, url))).alias("b"))
     return both.where("a is not null and b is not null")
 
 

@@ -36,6 +36,14 @@ def test_aliases(spark):
                                                       8: "block", 9: "allow"}
 
 
+def test_aliases_in_any_case(spark):
+    got = judge(spark, [(1, "http://a.net/1", '<LINK REL="CANONICAL" HREF="http://b.com/de/2">'),
+                        (2, "http://a.net/2", "<link rel=Canonical href=http://b.com/de/3>"),
+                        (3, "http://a.net/3", '<META HTTP-EQUIV="REFRESH" CONTENT="0; URL=http://b.com/de/4">'),
+                        (4, "http://a.net/4", '<LINK REL="CANONICAL" HREF="http://b.net/4">')])
+    assert {k: r.verdict for k, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_chain_against_union_find(spark):
     rnd = random.Random(3)
     n = 150
