@@ -48,19 +48,21 @@ def money(df: DataFrame, c: ColumnLike, notation: str = "dot", dtype: T.DecimalT
     * ``dot``   - the dot is the decimal point, commas are thousands marks
                   (``1,234.50`` -> 1234.50, ``24.990`` -> 24.99);
     * ``comma`` - a comma, where there is one, is the decimal point and dots are thousands marks;
-                  without a comma a dot is the decimal point (``€1.234,50`` -> 1234.50,
-                  ``EUR 24,99`` -> 24.99, ``24.990`` -> 24.99).
+                  without a comma a single dot is the decimal point and several are thousands marks
+                  (``€1.234,50`` -> 1234.50, ``EUR 24,99`` -> 24.99, ``24.990`` -> 24.99,
+                  ``€1.234.567`` -> 1234567).
 
-    Currency signs, letters and blanks are dropped first.  Numbers in scientific notation are taken
+    Currency signs, letters and blanks are dropped first; a minus may stand before or after the digits.  Numbers in scientific notation are taken
     as such only where the whole text is one; numeric columns are cast directly.
     """
     col = _col(c)
     if isinstance(df.select(col).schema[0].dataType, T.NumericType):
         return col.try_cast(dtype)
     raw = col.cast("string")
-    digits = F.regexp_replace(raw, r"[^0-9.,\-]", "")
+    digits = F.regexp_replace(F.regexp_replace(raw, r"[^0-9.,\-]", ""), r"^([^-]+)-$", "-$1")
     if notation == "comma":
-        text = F.when(digits.contains(","), F.translate(digits, ",.", ".")).otherwise(digits)
+        text = F.when(digits.contains(","), F.translate(digits, ",.", ".")) \
+            .when(digits.rlike("[.].*[.]"), F.translate(digits, ".", "")).otherwise(digits)
     elif notation == "dot":
         text = F.translate(digits, ",", "")
     else:

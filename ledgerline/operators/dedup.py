@@ -3,8 +3,8 @@
 The business rule: within one order line key, the best copy is the one with the best
 payment status (settled > completed > pending, unknown = completed), then the latest
 order timestamp, then the latest arrival.  Further tie-breaks make the choice total
-and independent of input order: product, quantity, amount, then the source file and
-row the copy came from.
+and independent of input order: product, quantity, amount, then the source file, row and
+line the copy came from.
 
 A plain ``row_number() OVER (PARTITION BY key ...)`` over all rows sends every copy
 of a key to one task; if one key holds a third of all rows, that task does a third
@@ -33,7 +33,8 @@ from ledgerline.operators.joins import staged
 from ledgerline.schemas import DUPLICATE_REASON, ORDER_KEYS
 
 FLAG_COLUMNS = ("_is_duplicate", "_duplicate_reason")
-IDENTITY = ("_source_file", "_source_row")
+# the lines exploded from one source row share file and row: the line number tells them apart
+IDENTITY = ("_source_file", "_source_row", "line_number")
 
 
 def business_order(df: DataFrame) -> list[OrderSpec]:
@@ -41,7 +42,7 @@ def business_order(df: DataFrame) -> list[OrderSpec]:
     order: list[OrderSpec] = [(status_priority("payment_status"), "asc"),
                               ("order_timestamp", "desc")]
     for c, d in [("_ingestion_timestamp", "desc"), ("product_sku", "asc"), ("quantity", "asc"),
-                 ("total_amount_usd", "asc"), ("_source_file", "asc"), ("_source_row", "asc")]:
+                 ("total_amount_usd", "asc"), ("_source_file", "asc"), ("_source_row", "asc"), ("line_number", "asc")]:
         if c in df.columns:
             order.append((c, d))
     return order
@@ -77,8 +78,8 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
     for rows that come straight from a stored table).
 
     Exactly one row per key is not a duplicate (the best by ``order``), provided the
-    ``identity`` columns (source file, row within it) tell rows apart - which the
-    Bronze readers guarantee.  Rows with a NULL key part are never duplicates.
+    ``identity`` columns (source file, row within it, line within that) tell rows apart -
+    which the Bronze readers and normalisers guarantee.  Rows with a NULL key part are never duplicates.
     """
     keys = list(keys)
     if stage:
@@ -86,11 +87,12 @@ def mark_duplicates(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
     order = list(order) if order is not None else business_order(df)
     identity = _identity(df, identity)
     cols = df.columns
+    columns = list(dict.fromkeys(keys + identity))
     w = Window.partitionBy(*_groups(keys, identity)).orderBy(*sort_columns(order))
     winners = (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-               .select(*[F.col(c).alias(f"_w{c}") for c in keys + identity], F.lit(True).alias("_won")))
+               .select(*[F.col(c).alias(f"_w{c}") for c in columns], F.lit(True).alias("_won")))
     on = None
-    for c in keys + identity:
+    for c in columns:
         cond = df[c].eqNullSafe(winners[f"_w{c}"])
         on = cond if on is None else (on & cond)
     joined = df.join(winners, on, "left")

@@ -27,14 +27,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="ledgerline-test-")
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of ``cols`` (all columns when none given)."""
-    cols = cols or df.columns
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=lambda t: tuple(str(x) for x in t))
-
-
-def srt(items):
-    """Sort like ``rows`` does."""
-    return sorted(items, key=lambda t: tuple(str(x) for x in t))

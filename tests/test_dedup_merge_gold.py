@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup, gold, merge
-from conftest import rows, srt
+from tests_support import rows, srt
 
 DEDUP_SCHEMA = ("order_id string, line_number int, payment_status string, order_timestamp timestamp, "
                 "total_amount_usd decimal(18,2), _source_file string, _source_row long")
@@ -45,6 +45,17 @@ def test_keep_best_matches_mark(spark):
     assert a == b
 
 
+def test_lines_of_one_source_row_are_told_apart(spark):
+    """Two items of one JSON order share file and row: without an order id both stay, with one a single line wins."""
+    t = datetime(2024, 1, 1)
+    data = [(None, 1, "completed", t, Decimal("1"), "f", 1), (None, 2, "completed", t, Decimal("2"), "f", 1),
+            ("D1", 1, "settled", t, Decimal("3"), "f", 2), ("D1", 2, "settled", t, Decimal("4"), "f", 2), ("D1", 1, "pending", t, Decimal("5"), "f", 3)]
+    df = spark.createDataFrame(data, DEDUP_SCHEMA)
+    kept = rows(dedup.keep_best(df, keys=["order_id"]), "order_id", "line_number", "_source_row")
+    marked = rows(dedup.mark_duplicates(df, keys=["order_id"]).filter("NOT _is_duplicate"), "order_id", "line_number", "_source_row")
+    assert kept == marked == srt([(None, 1, 1), (None, 2, 1), ("D1", 1, 2)])
+
+
 def test_winner_independent_of_input_order(spark):
     df = dedup_fixture(spark)
     shuffled = df.repartition(7).orderBy(F.rand(3))

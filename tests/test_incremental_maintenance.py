@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import dedup, gold, maintenance
 from ledgerline.plans import tables
 from ledgerline.streaming import delta
-from conftest import rows
+from tests_support import rows
 
 SCHEMA = ("order_id string, line_number int, order_timestamp timestamp, country_code string, "
           "source_vendor string, total_amount_usd decimal(18,2), discount_amt_usd decimal(18,2), "

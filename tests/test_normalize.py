@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import dedup, normalize
 from ledgerline.sources import files
-from conftest import rows
+from tests_support import rows
 
 A_V1 = """order_id,order_date,customer_email,product_sku,quantity,unit_price,total_amount,payment_method
 A1,01/15/2024,x@y.com,WIDGET-500,2,10.50,21.00,google_pay
@@ -123,7 +123,8 @@ def test_money_parsing(spark):
             (" 7 ", "7.00"), ("-3.5", "-3.50"), ("24.99 EUR", "24.99"), ("0.005", "0.01"), ("$5", "5.00"), ("1234.5678", "1234.57")]
     cases = {"dot": both + [("1,234.50", "1234.50"), ("$1,234,567.5", "1234567.50")],
              "comma": both + [("€24,99", "24.99"), ("€1.234,50", "1234.50"), ("-3,5", "-3.50"), ("€ 0,05", "0.05"), ("EUR 24,99", "24.99"),
-                              ("1.234", "1.23")]}
+                              ("1.234", "1.23"), ("€1.234.567", "1234567.00"), ("1.234.567,8-", "-1234567.80"), ("12,50-", "-12.50"),
+                              ("1-2", None)]}
     for notation, pairs in cases.items():
         df = spark.createDataFrame([(a,) for a, _ in pairs], "raw string")
         got = dict((r["raw"], r["m"]) for r in with_money(df, {"m": "raw"}, notation).collect())
