@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, compact_windows, decontam, langid, nbsvm, quality_rules, simhash, sql, suffix_dedup, toxicity, urls
-from ledgerline.llm.common import fold, load
+from ledgerline.llm import bpe, compact_windows, decontam, langid, nbsvm, prefix_trie, quality_rules, simhash, sql, suffix_dedup, toxicity, urls
+from ledgerline.llm.common import fold, load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,10 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated(load(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_prefix_trie", sql.PREFIX_TRIE)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations, with members, children and subtree totals."""
+    own = stored(prefix_trie.turns_of(load(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.trie(prefix_trie.rebuilt(own))

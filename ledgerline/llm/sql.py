@@ -65,6 +65,42 @@ SELECT page_id, p.host, p.path, rule,
 FROM p LEFT JOIN best ON p.host = best.host AND p.path = best.path
 """
 
+#: crc32 of a list of byte values, bit by bit (a macro body; the polynomial is CRC-32's)
+_CRC = ("xor(4294967295, list_reduce(flatten(list_transform({b}, lambda v: [v, 0, 0, 0, 0, 0, 0, 0])), "
+        "lambda c, v: xor(xor(c, v) >> 1, 3988292384 * (xor(c, v) & 1)), CAST(4294967295 AS BIGINT)))").format
+
+PREFIX_TRIE = rf"""
+WITH own AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) AS pos
+  FROM (SELECT conv_id, turn, role, text, substr(sha256(octet_length(encode(role)) || ':' || role || text), 1, 32) AS digest
+        FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL))),
+ids AS (
+  SELECT conv_id, {_CRC(b="list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))")} % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)),
+turns AS (
+  SELECT i.conv_id, 0 AS half, o.pos, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.conv_id - i.conv_id % 100 AND o.pos <= h
+  UNION ALL SELECT i.conv_id, 1, o.pos, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.pos > h),
+chain AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS points,
+         list(sha256(octet_length(encode(role)) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY half, pos ROWS UNBOUNDED PRECEDING) AS node
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY half, pos)),
+walk AS (SELECT conv_id, 0 AS depth, 0 AS points, CAST([] AS VARCHAR[]) AS node FROM ids UNION ALL SELECT * FROM chain),
+lens AS (SELECT conv_id, max(depth) AS len FROM walk GROUP BY conv_id),
+nodes AS (
+  SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(points) AS points,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = len), '') AS ends
+  FROM walk JOIN lens USING (conv_id) GROUP BY node),
+kids AS (SELECT node[:len(node) - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+flat AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (node)),
+sums AS (
+  SELECT w.node, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.points) AS saved
+  FROM flat f JOIN walk w ON w.conv_id = f.conv_id AND w.depth <= f.depth GROUP BY w.node)
+SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(f.n_convs AS BIGINT) AS n_convs,
+       CAST(f.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(f.ends) AS ends_sha256
+FROM flat f JOIN sums s USING (node) LEFT JOIN nodes p ON f.depth > 0 AND p.node = f.node[:len(f.node) - 1]
+"""
+
 
 def _list(words) -> str:
     return "[" + ", ".join("'" + w + "'" for w in words) + "]"
@@ -82,7 +118,7 @@ def quality_rules(common: dict, classes, max_char: float, min_chars: int, max_wo
         prev = f"l{k}"
     sizes = ["length(t)"] + [f"length(l{k})" for k in range(len(classes))]
     chars = ", ".join([f"{a} - {b}" for a, b in zip(sizes, sizes[1:])] + [sizes[-1]])
-    js = ("sqrt(greatest(0, list_sum(list_transform(range(1, len({p}) + 1), i -> "
+    js = ("sqrt(greatest(0, list_sum(list_transform(range(1, len({p}) + 1), lambda i: "
           "CASE WHEN {p}[i] > 0 THEN {p}[i] / list_sum({p}) * ln(2 * {p}[i] / list_sum({p}) / ({p}[i] / list_sum({p}) + {q}[i] / list_sum({q}))) ELSE 0 END"
           " + CASE WHEN {q}[i] > 0 THEN {q}[i] / list_sum({q}) * ln(2 * {q}[i] / list_sum({q}) / ({p}[i] / list_sum({p}) + {q}[i] / list_sum({q}))) ELSE 0 END"
           ")) / (2 * ln(2))))").format
@@ -93,7 +129,7 @@ WITH x AS (
 {", ".join(steps)},
 f AS (SELECT rid, doc_id, lang, t, w, CAST([{chars}] AS DOUBLE[]) AS chars, CAST({sizes[1]} AS BIGINT) AS word_chars,
              CASE {case} ELSE [] END AS own FROM s{len(classes) - 1}),
-h AS (SELECT *, list_transform(own, c -> CAST(len(list_filter(w, y -> y = c OR y = upper(c[1]) || c[2:])) AS DOUBLE)) AS counts FROM f),
+h AS (SELECT *, list_transform(own, lambda c: CAST(len(list_filter(w, lambda y: y = c OR y = upper(c[1]) || c[2:])) AS DOUBLE)) AS counts FROM f),
 g AS (SELECT *, CASE WHEN len(own) = 0 THEN list_resize(CAST([] AS DOUBLE[]), {n}, 0.0) || [CAST(len(w) AS DOUBLE)]
                      ELSE counts || [len(w) - list_sum(counts)] END AS common FROM h),
 refs AS (
