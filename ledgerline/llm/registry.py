@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, compact_windows, decontam, langid, nbsvm, prefix_trie, quality_rules, simhash, sql, suffix_dedup, toxicity, urls
+from ledgerline.llm import bpe, compact_windows, decontam, langid, nbsvm, prefix_trie, quality_rules, sharding, simhash, sql, suffix_dedup, toxicity, urls
 from ledgerline.llm.common import fold, load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of the rebuilt conversations, with members, children and subtree totals."""
     own = stored(prefix_trie.turns_of(load(spark, sf_dir, "conversations")), "turns")
     return prefix_trie.trie(prefix_trie.rebuilt(own))
+
+
+@query("op12_sharding", sql.SHARDS)
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its place in 16 shards, which all have the mixture of sources of the whole table."""
+    out = sharding.interleave(load(spark, sf_dir, "documents"), shards=16, by="source")
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -101,6 +101,23 @@ SELECT f.conv_id, CAST(f.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM flat f JOIN sums s USING (node) LEFT JOIN nodes p ON f.depth > 0 AND p.node = f.node[:len(f.node) - 1]
 """
 
+SHARDS = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS stratum FROM documents),
+x AS (
+  SELECT doc_id, octet_length(encode(text)) + 1 AS size, stratum,
+         {_CRC(b="list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda d: CAST('0x' || d AS BIGINT))")} AS crc FROM t),
+y AS (
+  SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') AS name, CAST('0x' || substr(md5('interleave:' || stratum), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS phase FROM x),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('interleave:' || name || ':' || CAST(crc AS VARCHAR)), doc_id NULLS FIRST, size) AS rank,
+         count(*) OVER (PARTITION BY stratum) AS n FROM y),
+p AS (SELECT *, row_number() OVER (ORDER BY (rank - 1 + phase) / n, stratum, rank) - 1 AS place, count(*) OVER () AS total FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, CAST(place * 16 // total AS INTEGER) AS shard,
+       CAST(place - (place * 16 // total * total + 15) // 16 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM p
+"""
+
 
 def _list(words) -> str:
     return "[" + ", ".join("'" + w + "'" for w in words) + "]"
