@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, compact_windows, decontam, langid, nbsvm, prefix_trie, quality_rules, sharding, simhash, sql, suffix_dedup, toxicity, urls
+from ledgerline.llm import bpe, compact_windows, decontam, divergence, langid, nbsvm, prefix_trie, quality_rules, sharding, simhash, sql, suffix_dedup, toxicity, urls
 from ledgerline.llm.common import fold, load, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,9 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its place in 16 shards, which all have the mixture of sources of the whole table."""
     out = sharding.interleave(load(spark, sf_dir, "documents"), shards=16, by="source")
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_source_divergence", sql.DIVERGENCES)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language lie apart in their words, and the terms that set each of them off."""
+    return divergence.divergences(load(spark, sf_dir, "documents"), min_docs=10, top=10)

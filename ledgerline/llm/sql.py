@@ -118,6 +118,35 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'rows' AS law, C
 FROM p
 """
 
+DIVERGENCES = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), {A_Z}), '[^ -@[-`{-]+') AS w FROM documents),
+grp AS (SELECT DISTINCT lang, source FROM d),
+words AS (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(*) >= 10),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+counts AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM grp g JOIN kept k USING (lang) LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM words GROUP BY ALL) c USING (lang, source, term)),
+own AS (
+  SELECT lang, source, term, n, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS BIGINT) AS p
+  FROM counts JOIN vocabulary USING (lang)),
+whole AS (
+  SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS BIGINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL) JOIN vocabulary USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM own a JOIN own b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, o.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM grp g JOIN grp o ON g.lang = o.lang AND g.source <> o.source LEFT JOIN pairs x ON x.lang = g.lang AND x.source = g.source AND x.item = o.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM own JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
 
 def _list(words) -> str:
     return "[" + ", ".join("'" + w + "'" for w in words) + "]"
