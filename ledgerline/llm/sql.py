@@ -121,7 +121,7 @@ FROM p
 DIVERGENCES = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
-         regexp_extract_all(translate(coalesce(text, ''), {A_Z}), '[^ -@[-`{-]+') AS w FROM documents),
+         regexp_extract_all(translate(coalesce(text, ''), {A_Z}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
 grp AS (SELECT DISTINCT lang, source FROM d),
 words AS (SELECT rid, lang, source, term, count(*) AS n FROM (SELECT rid, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
 kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(*) >= 10),
