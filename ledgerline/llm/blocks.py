@@ -71,7 +71,10 @@ def store_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = source.mapInArrow(run, schema)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out.write.bucketBy(parts, "block").option("path", scratch_path(spark, "llm", "blocks")).saveAsTable(name)
-    return spark.table(name)
+    # the plan keeps files and layout; the catalog's entry would stay for good (the files are the folder's, not the table's)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

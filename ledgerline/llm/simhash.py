@@ -220,7 +220,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``bits``, ``component_id`` (smallest doc_id reachable by links) per row of ``docs``.
+    """``doc_id``, ``bits``, ``component_id`` (smallest doc_id reachable by links), ``root`` (what the component is known
+    by, whatever its ids) per row of ``docs``.
 
     Word-free texts share fingerprint 0 and link like any other; copies and repeated rows share a
     fingerprint and so a component.  A NULL doc_id keeps its row but never names a component (which is
@@ -231,5 +232,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS,
     named = first.join(near.withColumnRenamed("node", "bits"), "bits", "left") \
         .select("bits", "first_id", F.coalesce("root", "bits").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    group = named.join(least, "root").select("bits", "component_id")
-    return prints.join(group, "bits").select("doc_id", "bits", "component_id")
+    group = named.join(least, "root").select("bits", "component_id", "root")
+    return prints.join(group, "bits").select("doc_id", "bits", "component_id", "root")

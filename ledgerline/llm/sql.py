@@ -33,18 +33,31 @@ WITH RECURSIVE p AS (
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 rules(rh, rp, action) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
                                  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+seen AS (SELECT url, regexp_replace(html, '(?s)<!--.*?(-->|$)', '', 'g') AS html FROM p),
 targets AS (
-  SELECT url, regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM p
+  SELECT url, regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*[\s"''/]rel\s*=\s*["'']?canonical\b[^>]*>'), '(?i)[\s"''/]href\s*=\s*["'']?([^"''\s>]+)', 1) AS t FROM seen
   UNION ALL
-  SELECT url, regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM p),
+  SELECT url, regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*[\s"''/]http-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?i)[\s"'';,]url\s*=\s*["'']?([^"''\s>]+)', 1) FROM seen),
+parsed AS (
+  SELECT url, replace(t, '&amp;', '&') AS t, split_part(url, '://', 1) AS scheme, regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) AS site,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS own FROM targets WHERE t <> '' AND contains(url, '://')),
+whole AS (
+  SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\-]*://') THEN t
+                   WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN NULL
+                   WHEN t[1:2] = '//' THEN scheme || ':' || t
+                   WHEN t[1] = '/' THEN scheme || '://' || site || t
+                   WHEN t[1] = '#' THEN regexp_extract(url, '^[^#]*') || t
+                   WHEN t[1] = '?' THEN scheme || '://' || site || own || t
+                   ELSE scheme || '://' || site || CASE WHEN contains(own, '/') THEN regexp_extract(own, '^(.*/)', 1) ELSE '/' END || t END AS t
+  FROM parsed),
+pieces AS (
+  SELECT url, regexp_extract(t, '(?s)^.*?://[^/?#]*') AS front, regexp_extract(t, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS way,
+         regexp_extract(t, '(?s)^.*?://[^?#]*(.*)$', 1) AS tail FROM whole WHERE t IS NOT NULL),
 links AS (
-  SELECT url, CASE WHEN contains(t, '://') THEN t
-                   WHEN starts_with(t, '//') THEN split_part(url, '://', 1) || ':' || t
-                   WHEN starts_with(t, '/') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*') || t
-                   ELSE regexp_extract(url, '(?s)^.*?://[^/?#]*')
-                        || CASE WHEN regexp_replace(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', '') = '' THEN '/'
-                                ELSE regexp_replace(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '[^/]*$', '') END || t END AS target
-  FROM (SELECT url, replace(t, '&amp;', '&') AS t FROM targets) WHERE t <> '' AND contains(url, '://')),
+  SELECT url, front || CASE WHEN regexp_matches(way, '/[.]{{1,2}}(/|$)') THEN
+      list_reduce(list_prepend('', string_split(substr(way, 2), '/')),
+                  lambda a, s: CASE s WHEN '.' THEN a WHEN '..' THEN regexp_replace(a, '/[^/]*$', '') ELSE a || '/' || s END)
+      || CASE WHEN regexp_matches(way, '/[.]{{1,2}}$') THEN '/' ELSE '' END ELSE way END || tail AS target FROM pieces),
 raw AS (SELECT url AS x, target AS y FROM links UNION ALL SELECT target, url FROM links),
 edges AS (
   SELECT DISTINCT translate(regexp_extract(x, '(?s)^.*?://([^/?#]*)', 1), {A_Z}) || regexp_extract(x, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS a,

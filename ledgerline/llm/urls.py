@@ -19,10 +19,13 @@ from ledgerline.llm.components import components
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"^[\s\S]*?://([^/?#]*)([^?#]*)"
 REST = r"^[\s\S]*?://([^#]*)"
-CANONICAL = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-REFRESH = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-TARGET = r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)"
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+# an attribute's name starts after white space, a quote or a slash: data-href is not href
+CANONICAL = r"(?i)<link\b[^>]*[\s\"'/]rel\s*=\s*[\"']?canonical\b[^>]*>"
+REFRESH = r"(?i)<meta\b[^>]*[\s\"'/]http-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+HREF = r"(?i)[\s\"'/]href\s*=\s*[\"']?([^\"'\s>]+)"
+TARGET = r"(?i)[\s\"';,]url\s*=\s*[\"']?([^\"'\s>]+)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 def host_of(url: Column) -> Column:
@@ -42,22 +45,37 @@ def node_of(url: Column) -> Column:
     return F.when(url.contains("://"), node)
 
 
+def without_dots(path: Column) -> Column:
+    """The path without its ``.`` and ``..`` segments; ``..`` at the root is the root."""
+    steps = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), lambda done, s: F.when(s == ".", done)
+                        .when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(s))))
+    out = F.concat(F.array_join(steps, "/"), F.when(path.rlike(r"/[.]{1,2}$"), "/").otherwise(""))
+    return F.when(path.rlike(r"/[.]{1,2}(/|$)"), out).otherwise(path)
+
+
 def resolve(target: Column, base: Column) -> Column:
-    """A link's absolute url (NULL for none)."""
+    """A link's absolute url: NULL for none, and for a scheme without ``//`` (``mailto:``).
+
+    Only a scheme at the very start makes a link absolute; a ``://`` further on is part of its path or query."""
     t = F.replace(target, F.lit("&amp;"), F.lit("&"))
     scheme = F.regexp_extract(base, r"^([\s\S]*?)://", 1)
     root = F.concat(scheme, F.lit("://"), F.regexp_extract(base, PARTS, 1))
     folder = F.regexp_replace(path_of(base), r"[^/]*$", "")
-    return F.when(t == "", None).when(t.contains("://"), t).when(t.startswith("//"), F.concat(scheme, F.lit(":"), t)) \
-        .when(t.startswith("/"), F.concat(root, t)).otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), t))
+    own = F.regexp_extract(base, r"^([^#]*)", 1)
+    full = F.when(t.rlike(SCHEME + "//"), t).when(t.rlike(SCHEME), None).when(t.startswith("//"), F.concat(scheme, F.lit(":"), t)) \
+        .when(t.startswith("/"), F.concat(root, t)).when(t.startswith("#"), F.concat(own, t)).when(t.startswith("?"), F.concat(root, path_of(base), t)) \
+        .otherwise(F.concat(root, F.when(folder == "", "/").otherwise(folder), t))
+    full = F.when(t != "", full)
+    front, path, tail = (F.regexp_extract(full, r"^([\s\S]*?://[^/?#]*)([^?#]*)([\s\S]*)$", k) for k in (1, 2, 3))
+    return F.concat(front, without_dots(path), tail)
 
 
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``a``, ``b``: urls made aliases by the pages' canonical links and meta refreshes."""
-    url, html = F.col(url_col), F.col(html_col)
+    url, html = F.col(url_col), F.regexp_replace(F.col(html_col), COMMENT, "")
     canonical = F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1)
     refresh = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1)
-    text = F.lower(html)      # the patterns hold in any case
+    text = F.lower(F.col(html_col))      # the patterns hold in any case
     both = pages.where(text.contains("canonical") | text.contains("refresh")).select(url.alias("a"), F.explode(F.array(resolve(canonical, url), resolve(refresh, url))).alias("b"))
     return both.where("a is not null and b is not null")
 

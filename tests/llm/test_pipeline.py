@@ -109,3 +109,27 @@ def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.lit(False))
     for _, stage in C.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_rows_that_share_an_id(spark):
+    """Rows of one id with different texts belong to different groups: each group keeps one document."""
+    words = [f"w{i}" for i in range(400)]
+    x, y = " ".join(words[:200]), " ".join(words[200:])
+    near = y + " w199"
+    rows = [(5, x), (5, y), (8, near), (9, x), (None, y), (None, "lone " * 3 + "text"), (None, "lone " * 3 + "text"), (5, x)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("__first", F.lit("a")).withColumn("text_hash", F.lit(1))
+    got = C.simhash_near_dedup(spark, docs, SF)
+    assert got.dtypes == docs.dtypes
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted([(5, x), (5, y), (None, "lone lone lone text")], key=str)
+
+
+def test_long_texts_are_fitted_by_windows(spark, monkeypatch):
+    from ledgerline.llm import samples
+    monkeypatch.setattr(samples, "FIT_CHARS", 200)
+    long = "".join(f"{i:04d} " for i in range(2000))
+    docs = spark.createDataFrame([(1, long, "a"), (2, "short", "a"), (3, "", "a"), (4, None, "a"), (5, "x", None)], "doc_id long, text string, lang string")
+    got = dict((y, sorted(t for t, _ in samples.by_column(docs, F.col("lang"), F.lit(True), 10) if len(t) > 5)) for y in ("a",))["a"]
+    assert len(got) == 1 and len(got[0]) == 200 + samples.FIT_WINDOWS - 1
+    places = [long.index(part) for part in (got[0][k * 11:k * 11 + 10] for k in range(samples.FIT_WINDOWS))]
+    assert places == sorted(places) and places[-1] > 9000 and places[0] < 500      # from all over the text
+    assert len(samples.by_column(docs, F.col("lang"), F.lit(True), 10)) == 2

@@ -44,6 +44,47 @@ def test_aliases_in_any_case(spark):
     assert {k: r.verdict for k, r in got.items()} == {1: "block", 2: "block", 3: "block", 4: "allow"}
 
 
+LINKS = [
+    ("http://good.net/a", '<link rel="canonical" href="/out?u=http://shop.com/de/1">', "allow"),       # a :// inside a relative link
+    ("http://b.net/a", '<link rel="canonical" href="out?u=http://shop.com/de/1">', "allow"),
+    ("http://c.net/a", '<!-- <link rel="canonical" href="http://shop.com/de/1"> -->', "allow"),        # commented out
+    ("http://d.net/a", '<!-- x --><link data-href="http://e.net/1" rel="canonical" href="http://shop.com/de/1"><!-- y -->', "block"),
+    ("http://f.net/a", '<link rel="canonical" data-href="http://shop.com/de/1" href="http://f.net/b">', "allow"),
+    ("http://shop.com/x/y", '<link rel="canonical" href="../de/../de/./2">', "block"),                 # leads to /de/2
+    ("http://g.net/x/y", '<link rel="canonical" href="http://shop.com/x/../de/1">', "block"),          # dot segments
+    ("http://h.net/x/y", '<link rel="canonical" href="http://shop.com/../../de/1/..">', "block"),
+    ("http://i.net/a", '<link rel="canonical" href="mailto:a@shop.com/de/1">', "allow"),
+    ("http://j.net/a?q", '<meta http-equiv="refresh" content="0;url=?x=http://shop.com/de/1">', "allow"),
+    ("http://k.net/a", '<meta data-url="http://shop.com/de/1" http-equiv="refresh" content="5">', "allow"),
+    ("http://l.net/a", '<link rel="canonical" href="HTTP://SHOP.com/de/1#top">', "block"),
+    ("http://m.net/a", '<link rel="canonical" href="http://shop.com/de/1"', "allow"),                  # not closed
+    ("http://n.net/a", '<link rel="canonical" href="#top">', "allow"),
+]
+
+
+def test_links(spark):
+    want = {u: v for u, _, v in LINKS}
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(LINKS)], "page_id long, url string, html string")
+    rules = spark.createDataFrame([("com", "/de/", "block")], "host string, path string, action string")
+    got = {r.page_id: r.verdict for r in U.judge(pages, rules).collect()}
+    assert {LINKS[i][0]: v for i, v in got.items()} == want
+
+
+def test_links_in_sql(spark):
+    """The query's SQL, stated apart, gives the same verdicts on the same pages."""
+    import duckdb
+
+    from ledgerline.llm import registry, sql
+    pages = [(i, u, h) for i, (u, h, _) in enumerate(LINKS)] + [(50, "no url", "<link rel=canonical href=http://a.com/de/1>"), (51, None, None), (52, "http://o.net", None)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    want = sorted(con.execute(sql.URLS).fetchall())
+    rules = spark.createDataFrame(list(registry.URL_RULES), "host string, path string, action string")
+    got = U.judge(spark.createDataFrame(pages, "page_id long, url string, html string"), rules)
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_chain_against_union_find(spark):
     rnd = random.Random(3)
     n = 150
