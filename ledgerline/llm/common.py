@@ -15,7 +15,7 @@ from ledgerline.session import scratch_path
 _LIBC = ctypes.CDLL(None)
 
 #: bytes of text that a task holds at once (one longer document is a block of its own)
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
 
 
 #: rows in an Arrow batch: documents are long, and a batch is held twice on its way to Python
@@ -28,8 +28,9 @@ def small_batches(df: DataFrame) -> None:
 
 
 def give_back() -> None:
-    """Return freed memory to the system: a Python worker lives on between tasks, and what its allocator
-    keeps adds up with the other workers of its executor."""
+    """Return freed memory to the system: a Python worker lives on between tasks, and what its allocators
+    (Arrow's and the C library's) keep adds up with the other workers of its executor."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(_LIBC, "malloc_trim", None)
     if trim is not None:
         trim(0)
