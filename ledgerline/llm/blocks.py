@@ -1,7 +1,7 @@
 """Texts in stored blocks, whole copies among them, and keys that several documents share.
 
 The operators that look for repeated passages pass over the texts several times and must bring what they
-learned back to them.  So the texts are written once as a table of blocks (about 2 MB of text, compressed),
+learned back to them.  So the texts are written once as a table of blocks (about 1 MB of text, compressed),
 bucketed by block number: what is learned is shuffled to its block, the texts themselves never are.
 """
 
@@ -21,7 +21,7 @@ from ledgerline.llm.common import give_back, narrow, row_blocks
 from ledgerline.session import scratch_path
 
 #: bytes of text in a block, and of text whose keys meet in one bucket
-TEXT_BYTES, BUCKET_BYTES = 2 << 20, 16 << 20
+TEXT_BYTES, BUCKET_BYTES = 1 << 20, 16 << 20
 #: a NULL id comes after all others
 NO_ID = (1 << 63) - 1
 #: entries of a key from which on it counts as heavy
