@@ -239,6 +239,25 @@ def q_ingest(spark, sf):
     return normalize.vendor_b(tables.read_appended(spark, bronze)).select(*LINE_COLUMNS)
 
 
+@register("ingest_manifest", _sql(
+    "SELECT 1 AS run, count(*) AS rows, FALSE AS changed FROM facts WHERE vendor = 'vendor_a' AND coalesce(arrived < TIMESTAMP '1998-01-01', TRUE) "
+    "UNION ALL SELECT 2, count(*), FALSE FROM facts WHERE vendor = 'vendor_a' AND arrived >= TIMESTAMP '1998-01-01' UNION ALL SELECT 3, 0, FALSE"))
+def q_manifest(spark, sf):
+    """Rows that three ingest runs over a growing landing folder append, known from the manifest alone."""
+    from ledgerline.schemas import VENDOR_A_V2
+    from ledgerline.sources import files, testdata
+    feed = testdata.vendor_a_feed(testdata.order_facts(spark, sf))
+    land, bronze = _landing(spark, "vendor_a_runs"), _landing(spark, "bronze_a_runs")
+    early = F.coalesce(F.col("_ingestion_timestamp") < F.lit("1998-01-01").cast("timestamp"), F.lit(True))
+    runs = []
+    for k, part in enumerate((feed.filter(early), feed.filter(~early), None), start=1):
+        if part is not None:
+            files.write_vendor_files(part, f"{land}/batch={k}", VENDOR_A_V2 + ["payment_status"])
+        got = files.ingest(spark, land, "vendor_a", bronze)
+        runs.append((k, int(got), got.changed > 0))
+    return spark.createDataFrame(runs, "run int, rows long, changed boolean")
+
+
 @register("bronze_schema_evolution", _sql(
     "SELECT order_id, customer_email, promo_code, loyalty_points, "
     "CASE WHEN promo_code IS NOT NULL THEN 2 ELSE 1 END AS batch FROM lines WHERE source_vendor = 'vendor_a'"))
@@ -435,7 +454,9 @@ def _streamed(spark, sf, name: str, vendors: tuple[str, ...]) -> str:
         elif vendor == "vendor_b":
             files.write_vendor_files(wave, f"{land}/v1", VENDOR_B_COLUMNS + ["payment_status"], sep="|")
         else:
-            files.write_vendor_files(wave, f"{land}/v1", VENDOR_C_COLUMNS, sep="\t", quote='"', escape='"')
+            # the second delivery has its columns the other way round
+            columns = VENDOR_C_COLUMNS[::-1] if i == 1 else VENDOR_C_COLUMNS
+            files.write_vendor_files(wave, f"{land}/v1", columns, sep="\t", quote='"', escape='"')
 
     waves = {v: _in_waves(feeds[v]) for v in vendors}
     for i in range(4):
@@ -443,12 +464,9 @@ def _streamed(spark, sf, name: str, vendors: tuple[str, ...]) -> str:
             if i < 3:
                 deliver(v, i, waves[v][i])
             land = f"{root}/landing/{v}/*/*/"
-            src = (stream.vendor_c_stream if v == "vendor_c" else stream.text_stream)(spark, land, max_files=100000)
-            stream.run_available(src, stream.make_batch_handler(f"{root}/lake", v), f"{root}/checkpoint/{v}")
-    first = spark.read.text(f"{root}/landing/{vendors[0]}/wave=0/*/", wholetext=True) if vendors[0] != "vendor_c" else None
-    if first is not None:
-        stream.make_batch_handler(f"{root}/lake", vendors[0])(
-            first.select("value", F.col("_metadata.file_path").alias("_source_file")), 0)
+            stream.run_available(stream.files_stream(spark, land, max_files=100000), stream.make_batch_handler(f"{root}/lake", v), f"{root}/checkpoint/{v}")
+    first = files.list_files(spark, f"{root}/landing/{vendors[0]}/wave=0/*/").select(F.col("path").alias("_source_file"))
+    stream.make_batch_handler(f"{root}/lake", vendors[0])(first, 0)
     return f"{root}/lake"
 
 

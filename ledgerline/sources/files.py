@@ -4,7 +4,7 @@ Header drift: a vendor changes its layout mid-stream (columns renamed, added, mo
 new files share one folder.  A CSV reader maps columns by *position*, so one schema for both shifts
 values into the wrong columns.  Here a file's first line is its header:
 
-1. the files are listed; files that Bronze holds already leave the listing (no content is read);
+1. the files are listed; those that the manifest of Bronze has, unchanged, leave the listing (no content is read);
 2. the first line of each new file is found by one aggregate over the text (one row a file);
    only the distinct header lines and the new paths come to the driver;
 3. every layout is read once, with its own all-text schema, over its own files, and the layouts are
@@ -123,26 +123,58 @@ def read_vendor_c(spark: SparkSession, path: str) -> DataFrame:
     return read_vendor(spark, path, "vendor_c")
 
 
-def new_files(listing: DataFrame, loaded: DataFrame | None) -> DataFrame:
-    """The listed files that no row of ``loaded`` (Bronze) came from: a replay guard on paths alone."""
-    if loaded is None:
-        return listing
-    held = loaded.select(F.regexp_replace("_source_file", "^[a-z0-9]+:/+", "/").alias("_file")).distinct()
-    plain = listing.withColumn("_file", F.regexp_replace("path", "^[a-z0-9]+:/+", "/"))
-    return plain.join(held, "_file", "left_anti").select("path")
+class Ingested(int):
+    """Rows appended by an ingest; ``files`` read for them, and how many of these (``changed``) had been loaded before
+    under the same path with another size or modification time."""
 
+    files: int
+    changed: int
 
-def ingest(spark: SparkSession, landing: str, vendor: str, bronze: str) -> int:
-    """Append the landing folder's new files to the append-only Bronze table; returns the rows appended.
+    def __new__(cls, rows: int, files: int = 0, changed: int = 0):
+        out = super().__new__(cls, rows)
+        out.files, out.changed = files, changed
+        return out
 
-    Nothing that Bronze holds is read (but its file names) or written again.  A new column of a later
-    layout is NULL in the earlier batches."""
+
+MANIFEST = ("path", "length", "modificationTime")
+
+
+def _to_load(listing: DataFrame, held: DataFrame | None) -> DataFrame:
+    """The listed files that are not in the manifest with their size and time; ``changed`` where the path is."""
+    if held is None:
+        return listing.withColumn("changed", F.lit(False))
+    todo = listing.join(held.select(*MANIFEST), list(MANIFEST), "left_anti")
+    paths = held.select(F.col("path").alias("_held")).distinct()
+    return todo.join(paths, F.col("path") == F.col("_held"), "left").withColumn("changed", F.col("_held").isNotNull()).drop("_held")
+
+
+def ingest(spark: SparkSession, landing: str, vendor: str, bronze: str) -> Ingested:
+    """Append the landing folder's new and changed files to the append-only Bronze table.
+
+    What has been loaded is known from a manifest beside Bronze (path, size and modification time of each file,
+    by batch); Bronze itself is never read.  A file delivered again under its old name is loaded again, once, and
+    counted as ``changed``: its lines are further copies, which Silver ranks.  A batch enters the manifest before
+    Bronze, so one that died in between is finished, with the same files, by the next ingest.  A new column of a
+    later layout is NULL in the earlier batches."""
     from ledgerline.plans import tables
-    todo = [r["path"] for r in new_files(list_files(spark, landing), tables.read_appended(spark, bronze)).collect()]
-    if not todo:
-        return 0
-    batch = f"{vendor}-{len(tables.committed(spark, bronze)) + 1:06d}"
-    return tables.append(read_files(spark, todo, vendor), bronze, batch) or 0
+    bronze = bronze.rstrip("/")
+    manifest, rows = f"{bronze}/manifest", 0
+    held = tables.read_appended(spark, manifest)
+    done = set(tables.committed(spark, bronze))
+    listed = tables.committed(spark, manifest)
+    for batch in listed:
+        if batch not in done:
+            paths = [r["path"] for r in held.filter(F.col(tables.BATCH_COL) == batch).select("path").collect()]
+            rows += tables.append(read_files(spark, paths, vendor), bronze, batch) or 0
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing).select(*MANIFEST)
+    todo = _to_load(listing, held)
+    batch = f"{vendor}-{len(listed) + 1:06d}"
+    found = todo.collect()                       # one row a file of this batch
+    if not found:
+        return Ingested(rows)
+    tables.append(spark.createDataFrame(found, todo.schema).coalesce(1), manifest, batch)
+    rows += tables.append(read_files(spark, [r["path"] for r in found], vendor), bronze, batch) or 0
+    return Ingested(rows, len(found), sum(r["changed"] for r in found))
 
 
 def write_vendor_files(df: DataFrame, path: str, columns: Sequence[str], sep: str = ",",

@@ -186,6 +186,33 @@ def test_ingest_appends_new_files_only(spark, tmp_dir):
     assert df.filter("email IS NOT NULL").count() == 1 and df.filter("customer_email IS NOT NULL").count() == 2
 
 
+def test_ingest_of_changed_files_and_after_a_crash(spark, tmp_dir, monkeypatch):
+    from ledgerline.plans import tables
+    land, bronze = f"{tmp_dir}/in", f"{tmp_dir}/bronze"
+    _write(f"{land}/orders_1.csv", A_V1)
+    first = files.ingest(spark, land, "vendor_a", bronze)
+    assert (first, first.files, first.changed) == (4, 1, 0)
+    _write(f"{land}/orders_1.csv", A_V1 + "A7,01/15/2024,x@y.com,WIDGET-500,2,10.50,21.00,visa\n")      # the same name, other content
+    again = files.ingest(spark, land, "vendor_a", bronze)
+    assert (again, again.files, again.changed) == (5, 1, 1)
+    assert files.ingest(spark, land, "vendor_a", bronze) == 0
+    _write(f"{land}/orders_2.csv", A_V2)
+    real = files.read_files
+    monkeypatch.setattr(files, "read_files", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    try:
+        files.ingest(spark, land, "vendor_a", bronze)
+        raise AssertionError("should have died")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(files, "read_files", real)
+    assert files.ingest(spark, land, "vendor_a", bronze) == 1 and files.ingest(spark, land, "vendor_a", bronze) == 0
+    assert tables.read_appended(spark, bronze).count() == 10
+    # the guard reads the manifest, never Bronze
+    real_read = tables.read_appended
+    monkeypatch.setattr(tables, "read_appended", lambda s, root, *a, **k: real_read(s, root, *a, **k) if root.endswith("/manifest") else (_ for _ in ()).throw(AssertionError(root)))
+    assert files.ingest(spark, land, "vendor_a", bronze) == 0
+
+
 def test_inferred_types(spark, tmp_dir):
     _write(f"{tmp_dir}/i/orders_1.csv", A_V1)
     df = files.read_vendor(spark, f"{tmp_dir}/i/*.csv", "vendor_a", infer=True)
