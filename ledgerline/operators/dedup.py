@@ -122,6 +122,26 @@ def keep_best(df: DataFrame, keys: Sequence[str] = ORDER_KEYS,
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def with_copies(df: DataFrame, keys: Sequence[str] = ORDER_KEYS, identity: Sequence[str] = IDENTITY,
+                salts: int = 64) -> DataFrame:
+    """Add ``_copies``: how many rows share the row's key (1 for a row with a NULL key part).
+
+    The counts are a partial aggregate: a hot key reaches the shuffle as one row per map task.  They are joined back on
+    key *plus* a salt from the row's identity, and a key's count is repeated only for the salts (at most ``salts``) that
+    its rows have; so the rows of a hot key meet its count in as many tasks.  Keys of one row are not joined at all.
+    ``df`` is read twice: stage it, or read it from a table.
+    """
+    keys = list(keys)
+    own = F.xxhash64(*_identity(df, identity))
+    # the salt of a row without a complete key matches nothing and spreads such rows
+    salted = df.withColumn("_salt", F.when(_any_null(keys), own).otherwise(F.pmod(own, F.lit(salts))))
+    counts = (salted.filter(~_any_null(keys)).groupBy(*keys)
+              .agg(F.count(F.lit(1)).alias("_copies"), F.collect_set("_salt").alias("_salts"))
+              .filter(F.col("_copies") > 1).withColumn("_salt", F.explode("_salts")).drop("_salts"))
+    joined = salted.join(counts, [*keys, "_salt"], "left")
+    return joined.select(*df.columns, F.coalesce("_copies", F.lit(1)).cast("long").alias("_copies"))
+
+
 def duplicate_census(marked: DataFrame) -> DataFrame:
     """Row count per ``_is_duplicate`` value."""
     return marked.groupBy("_is_duplicate").agg(F.count(F.lit(1)).alias("row_count"))

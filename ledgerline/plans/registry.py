@@ -552,7 +552,7 @@ def q_compact_partitioned(spark, sf):
 
 @register("zorder_cluster", _sql(
     "SELECT country_code, CAST(32 AS BIGINT) AS files_before, TRUE AS fewer_after, COUNT(*) AS lines FROM marked "
-    "WHERE country_code IN ('FRANCE', 'JAPAN', 'US') GROUP BY country_code"))
+    "WHERE country_code IN ('NATION_3', 'NATION_12', 'US') GROUP BY country_code"))
 def q_zorder(spark, sf):
     """Files that a filter on one country has to open, before and after Z-order compaction on
     (order_timestamp, country_code, source_vendor); no row is lost."""
@@ -562,7 +562,7 @@ def q_zorder(spark, sf):
     size = maintenance.table_health(spark, tables.version_path(root, 1)).first()["size_bytes"]
     maintenance.compact(spark, root, target_bytes=max(1, size // 32), zorder_by=["order_timestamp", "country_code", "source_vendor"])
     rows = []
-    for country in ("FRANCE", "JAPAN", "US"):
+    for country in ("NATION_3", "NATION_12", "US"):
         before, after = (maintenance.files_to_read(spark, root, "country_code", country, v) for v in (1, 2))
         rows.append((country, before, after < before))
     touched = spark.createDataFrame(rows, "country_code string, files_before long, fewer_after boolean")
@@ -780,3 +780,6 @@ for _name, _table, _like in (
         ("gold_merge_top10", "product_by_revenue", "top10_products"),
         ("gold_merge_promo", "promo_analysis", "promo_analysis")):
     register(_name, ORACLE[_like])(_gold_merged(_table))
+
+
+from ledgerline.plans import registry_layout  # noqa: E402,F401  (registers its queries here)

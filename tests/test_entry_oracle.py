@@ -25,7 +25,8 @@ def test_every_oracle_has_a_query():
                                   "top10_products", "promo_analysis", "merge_null_keys", "csv_comma_scan",
                                   "tsv_json_scan", "daily_revenue_order_grain", "dedup_order_level", "json_parse_failures",
                                   "line_quality", "money_notations", "ingest_anti_join", "bronze_schema_evolution",
-                                  "incremental_country_delta", "duplicates_from_delta_log", "bronze_preview"])
+                                  "incremental_country_delta", "duplicates_from_delta_log", "bronze_preview",
+                                  "inferred_types", "bucketed_batch_lines", "observed_silver_write"])
 def test_query_matches_oracle(spark, name):
     import duckdb
 
