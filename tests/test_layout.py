@@ -67,6 +67,15 @@ def test_zorder_inside_partitions(spark, tmp_dir):
     assert maintenance.files_to_read(spark, root, "x", 500, 2) < maintenance.files_to_read(spark, root, "x", 500, 1)
 
 
+def test_zorder_of_texts_with_a_common_start(spark):
+    df = spark.range(4000).select(F.format_string("COUNTRY_%02d", F.col("id") * 7919 % 40).alias("c"), "id")
+    z = maintenance.with_zorder(df.union(spark.createDataFrame([(None, 1)], "c string, id long")), ["c"])
+    order = {r.c: (r.lo, r.hi) for r in z.groupBy("c").agg(F.min("_z").alias("lo"), F.max("_z").alias("hi")).collect()}
+    ranked = [order[c] for c in sorted(k for k in order if k)]
+    assert len(ranked) == 40 and all(lo == hi for lo, hi in ranked)
+    assert [lo for lo, _ in ranked] == sorted({lo for lo, _ in ranked}) and order[None][0] == 0
+
+
 @pytest.fixture()
 def database(spark):
     name = f"orders_{uuid.uuid4().hex[:8]}"
