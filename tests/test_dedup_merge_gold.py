@@ -150,3 +150,17 @@ def test_top_products_and_promo(spark):
     p = gold.promo_analysis(df, audit=False).first()
     assert p["promo_code"] == "SAVE10" and p["usage_count"] == 19
     assert p["total_loyalty_points_awarded"] == sum(range(3, 60, 3))
+
+
+def test_changed_winners_leave_out_what_stays(spark):
+    from ledgerline.operators import dedup
+    cols = "order_id string, line_number int, order_timestamp string, payment_status string, _source_file string, _source_row long"
+    old = spark.createDataFrame([("a", 1, "2024-01-02", "settled", "f", 1), ("b", 1, "2024-01-02", "pending", "f", 2),
+                                 ("c", 1, "2024-01-02", "pending", "f", 3), ("e", 1, "2024-01-02", "pending", "f", 5)], cols)
+    new = spark.createDataFrame([("a", 1, "2024-01-02", "pending", "g", 1), ("b", 1, "2024-01-02", "settled", "g", 2),
+                                 ("c", 1, "2024-01-02", "pending", "f", 3), ("d", 1, "2024-01-02", "pending", "g", 4)], cols)
+    got = sorted((r["order_id"], r["_source_file"], r["_wins"]) for r in dedup.changed_winners(new, old).collect())
+    assert got == [("b", "f", False), ("b", "g", True), ("d", "g", True)]
+    # the result lies by the keys: no exchange is added to join on them
+    best = dedup.keep_best(new, whole_keys=True)
+    assert best.join(old.select("order_id", "line_number").distinct().hint("merge"), ["order_id", "line_number"], "left_semi").count() == 3

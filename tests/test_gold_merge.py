@@ -115,3 +115,28 @@ def test_only_touched_folders_are_read(spark, tmp_dir):
     assert stored.create_or_merge(one, f"{tmp_dir}/t", ["k", "d"], F.col("d")) == ["_part=2024-01-03"]
     after = files_of(f"{tmp_dir}/t")
     assert {p.split("/")[-2] for p in set(before) ^ set(after)} == {"_part=2024-01-03"}
+
+
+def test_merged_folders_are_moved_and_a_half_moved_merge_is_finished(spark, tmp_dir, monkeypatch):
+    days = spark.range(6).select(F.col("id").alias("k"), F.expr("date_add(date'2024-01-01', CAST(id AS INT))").alias("d"), F.col("id").alias("x"))
+    stored.create_or_merge(days, f"{tmp_dir}/t", ["k", "d"], F.col("d"))
+    source, touched = days.filter("k IN (1, 2)").withColumn("x", F.lit(99).cast("long")), days.filter("k < 4").select("k", "d")
+    real, moved = stored._move, []
+
+    def dies(spark, a, b):
+        if moved:
+            raise RuntimeError("killed")
+        real(spark, a, b)
+        moved.append(b)
+    monkeypatch.setattr(stored, "_move", dies)
+    with pytest.raises(RuntimeError):
+        stored.create_or_merge(source, f"{tmp_dir}/t", ["k", "d"], F.col("d"), touched=touched)
+    monkeypatch.setattr(stored, "_move", real)
+    stored.create_or_merge(days.limit(0), f"{tmp_dir}/t", ["k", "d"], F.col("d"))
+    assert rows(stored.read(spark, f"{tmp_dir}/t"), "k", "x") == [(1, 99), (2, 99), (4, 4), (5, 5)]
+    assert not os.path.exists(f"{tmp_dir}/t__merge")
+
+
+def test_changes_of_a_finished_batch_are_removed(spark, tmp_dir):
+    gold_merge.merge_batch(spark, tmp_dir, frame(spark, FIRST), "1", hashed=4)
+    assert not os.path.exists(f"{tmp_dir}/changes/1")
