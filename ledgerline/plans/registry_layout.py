@@ -43,11 +43,11 @@ def q_verdicts(spark, sf):
     a 40th and a 10th of the table a file."""
     from ledgerline.operators import maintenance
     from ledgerline.plans import tables
-    root, _ = _published_silver(spark, sf, "verdicts", files=4)
+    root, _ = _published_silver(spark, sf, "verdicts", files=64)
     out = None
-    for files in (4, 24, 64):
-        if files > 4:
-            tables.publish(tables.read(spark, root, 1), root, files=files)
+    for files in (64, 24, 4):
+        if files < 64:
+            tables.gather(spark, root, files)
         version = tables.latest_version(spark, root)
         path = tables.version_path(root, version)
         total = maintenance.table_health(spark, path).first()["size_bytes"]

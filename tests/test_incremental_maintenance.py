@@ -193,3 +193,28 @@ def test_partitioned_compaction_keeps_rows_and_partitions(spark, tmp_dir):
     assert rows(tables.read(spark, root).select("id", "day", "g")) == rows(df)
     h = maintenance.table_health(spark, tables.version_path(root, report["version_after"])).first()
     assert h["partition_columns"] == ["day"]
+
+
+def test_gathered_versions_shuffle_nothing(spark, tmp_dir):
+    root = f"{tmp_dir}/g"
+    df = spark.range(3000).select("id", F.concat(F.lit("x"), "id").alias("t"))
+    tables.publish(df, root, files=12, deal_by=["id"])
+    for files in (5, 2, 4):             # the last one has more files than the version before: dealt anew
+        version = tables.gather(spark, root, files)
+        assert maintenance.table_health(spark, tables.version_path(root, version)).first()["num_files"] == files
+        assert rows(tables.read(spark, root, version)) == rows(df)
+
+
+def test_columns_of_the_gold_jobs_are_enough():
+    from ledgerline.operators import dedup
+    from ledgerline.plans import gold_jobs
+    assert {*dedup.IDENTITY, "order_id", "loyalty_points", "customer_email"} <= gold_jobs.NEEDED
+    assert "payment_method" not in gold_jobs.NEEDED and "vat_amount_usd" not in gold_jobs.NEEDED
+
+
+def test_a_batch_that_changes_no_winner_adds_no_delta(spark, tmp_dir):
+    root = f"{tmp_dir}/lake"
+    delta.append_batch(root, _batch(spark, B2[:2], "f1"), "s-000001", LOGS)
+    delta.append_batch(root, _batch(spark, B1[:2], "f0"), "s-000002", LOGS)        # earlier copies, all lose
+    assert tables.read_appended(spark, f"{root}/log/country_day", only=["s-000002"]).count() == 0
+    assert rows(_country(spark, root)) == rows(_rebuilt(_batch(spark, B1[:2], "f0"), _batch(spark, B2[:2], "f1")))
