@@ -90,11 +90,12 @@ def q_zorder_partitioned(spark, sf):
     from ledgerline.plans import tables
     from ledgerline.session import scratch_path
     root = scratch_path(spark, "zorder_parts")
-    tables.publish(S.test_marked(spark, sf).repartition(12), root, partition_by=["source_vendor"], rebalance=False)
+    tables.publish(S.test_marked(spark, sf).repartition(12, *dedup.IDENTITY), root, partition_by=["source_vendor"], rebalance=False)
     size = maintenance.table_health(spark, tables.version_path(root, 1)).first()["size_bytes"]
     maintenance.compact(spark, root, target_bytes=max(1, size // 36), zorder_by=["order_timestamp", "country_code"])
-    rows = [(c, maintenance.files_to_read(spark, root, "country_code", c, 2) < maintenance.files_to_read(spark, root, "country_code", c, 1))
-            for c in ("NATION_3", "NATION_12")]
+    countries = ("NATION_3", "NATION_12")
+    before, after = (maintenance.files_holding(spark, root, "country_code", countries, v) for v in (1, 2))
+    rows = [(c, a < b) for c, b, a in zip(countries, before, after)]
     touched = spark.createDataFrame(rows, "country_code string, fewer_after boolean")
     return (tables.read(spark, root).groupBy("source_vendor", "country_code").agg(F.count(F.lit(1)).alias("lines"))
             .join(touched, "country_code"))
