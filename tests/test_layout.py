@@ -35,6 +35,29 @@ def test_copies_of_hot_and_missing_keys(spark):
     assert dedup.with_copies(df.limit(0)).count() == 0
 
 
+def test_copies_without_sorting_sets(spark):
+    """The salts of a key are bits of a hash aggregate's number, up to the highest."""
+    df = dedup.staged(lines(spark), "copies_bits")
+    out = dedup.with_copies(df)
+    assert "ObjectHashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    for salts in (1, 64):
+        n = {r._copies: r["count"] for r in dedup.with_copies(df, salts=salts).groupBy("_copies").count().collect()}
+        assert n[1200] == 1200 and sum(n.values()) == 2000
+    with pytest.raises(ValueError):
+        dedup.with_copies(df, salts=65)
+
+
+def test_staged_writes_long_projections_compiled(spark):
+    from ledgerline.operators import joins
+    before = spark.conf.get(joins.METHOD_CONF)
+    spark.conf.set(joins.METHOD_CONF, "60000")
+    try:
+        assert dedup.staged(spark.range(3), "limit_test").count() == 3
+        assert spark.conf.get(joins.METHOD_CONF) == "60000"
+    finally:
+        spark.conf.set(joins.METHOD_CONF, before)
+
+
 def test_written_order_and_verdict_limits(spark, tmp_dir):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.col("id").alias("v"))
     tables.publish(df, f"{tmp_dir}/t", sort_within=["k"], files=3)

@@ -135,6 +135,17 @@ def test_money_parsing(spark):
     assert [(r["a"], r["b"]) for r in got] == [(Decimal("0.01"), Decimal("25.00")), (Decimal("24.99"), None)]
 
 
+def test_money_text_is_searched_once(spark):
+    """An amount's digits are computed once, not in each branch; names of the helper columns meet no others."""
+    from ledgerline.functions.columns import with_money
+    df = spark.createDataFrame([("1.234,5-", "5"), ("2,5E3", "7")], "raw string, ____raw0 string")
+    out = with_money(df, {"m": "raw", "raw": "____raw0"}, "comma")
+    assert out.columns == ["raw", "____raw0", "m"]
+    assert [tuple(map(str, r)) for r in out.collect()] == [("5.00", "5", "-1234.50"), ("7.00", "7", "2.53")]
+    plan = with_money(df, {"m": "raw"}, "comma")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("[^0-9.,") == 1
+
+
 def test_unify_schema_is_canonical(spark, tmp_dir):
     from ledgerline.schemas import CANONICAL
     a = vendor_a_lines(spark, tmp_dir)
