@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ledgerline.llm.common import narrow, text_blocks
+from ledgerline.llm.common import give_back, narrow, small_batches, text_blocks
 
 NO_RANK = np.int64(1) << 40
 #: text encoded at once; the symbol arrays of a block take about twenty times as much
@@ -240,6 +240,8 @@ def decode(encoded: DataFrame, vocab_path: str, pattern: str, id_col: str = "doc
                 texts = [b"".join(map(token, np.frombuffer(v.as_py() or b"", dtype="<u4").tolist())) for v in part.column(1)]
                 cols = [part.column(0), pa.array(texts, pa.binary())] + ([part.column(1)] if keep_ids else [])
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "bytes", "ids"][:len(cols)])
+            give_back()
 
+    small_batches(encoded)
     df = encoded.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{ids_col}` as ids")
     return df.mapInArrow(run, "doc_id long, bytes binary" + (", ids binary" if keep_ids else ""))

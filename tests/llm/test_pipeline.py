@@ -133,3 +133,12 @@ def test_long_texts_are_fitted_by_windows(spark, monkeypatch):
     places = [long.index(part) for part in (got[0][k * 11:k * 11 + 10] for k in range(samples.FIT_WINDOWS))]
     assert places == sorted(places) and places[-1] > 9000 and places[0] < 500      # from all over the text
     assert len(samples.by_column(docs, F.col("lang"), F.lit(True), 10)) == 2
+
+
+def test_encoding_and_decoding_do_not_run_in_one_task(spark):
+    """A task holds one Python worker: the ids are stored before they are decoded, and all rows are there."""
+    docs = spark.createDataFrame([(1, "some text"), (None, "some text"), (2, None), (2, "")], "doc_id long, text string")
+    out = C.byte_bpe(spark, docs, "")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = [(r.doc_id, r.n_tokens > 0) for r in out.collect()]
+    assert sorted(got, key=str) == [(1, True), (2, False), (2, False), (None, True)]
