@@ -69,3 +69,18 @@ def test_a_merge_that_died_between_portions_changes_nothing(spark, tmp_dir, monk
     assert rows(stored.read(spark, f"{tmp_dir}/m")) == rows(old)
     stored.create_or_merge(spark.range(50).withColumn("v", F.lit("new")), f"{tmp_dir}/m", ["id"], hashed=4)
     assert rows(stored.read(spark, f"{tmp_dir}/m")) == rows(old.withColumn("v", F.when(F.col("id") < 50, "new").otherwise("old")))
+
+
+def test_deltas_in_groups_of_buckets(spark, tmp_dir, monkeypatch):
+    written, real = [], joins.write_parts
+    monkeypatch.setattr(stored, "GROUP_BYTES", 2_000)
+    monkeypatch.setattr(delta, "write_parts", lambda parts, *a: (written.append(len(parts)), real(parts, *a)))
+    a, b = frame(spark, FIRST), frame(spark, SECOND)
+    for name, batch in (("s-1", a), ("s-2", b), ("s-3", a.limit(0)), ("s-1", a)):
+        delta.append_batch(tmp_dir, batch, name)
+    assert written[1] > 1
+    silver = dedup.keep_best(a.unionByName(b))
+    got = delta.gold_tables(spark, tmp_dir)
+    for name, want in (("daily_product_revenue", gold.daily_product_revenue(silver, audit=False)),
+                       ("customer_purchase_frequency", gold.customer_purchase_frequency(silver, audit=False))):
+        assert rows(got[name].select(*want.columns)) == rows(want), name
