@@ -38,6 +38,22 @@ def test_staged_for_a_block(spark):
 
 
 @pytest.mark.parametrize("files, portion", [(22, 1 << 40), (22, 4_000), (3, 4_000), (None, 4_000)])
+def test_marked_in_portions(spark, tmp_dir, monkeypatch, files, portion):
+    monkeypatch.setattr(dedup, "PORTION_BYTES", portion)
+    df = dedup.staged(lines(spark).withColumn("_source_file", F.when(F.col("_source_row") % 3 > 0, F.col("_source_file"))), "portions")
+    broadcast = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        with dedup.marked_while(df, parts=files) as marked:
+            assert (len(marked) > 1) == (portion < 1 << 40)
+            tables.publish(marked, tmp_dir)
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", broadcast)
+    got = tables.read(spark, tmp_dir)
+    assert rows(got) == rows(dedup.mark_duplicates(df, stage=False))
+    assert files is None or len(got.inputFiles()) == files
+
+
 def test_batches_merged_in_portions(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(stored, "GROUP_BYTES", 2_000)
     written, real = [], joins.write_parts
