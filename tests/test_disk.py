@@ -100,3 +100,18 @@ def test_deltas_in_groups_of_buckets(spark, tmp_dir, monkeypatch):
     for name, want in (("daily_product_revenue", gold.daily_product_revenue(silver, audit=False)),
                        ("customer_purchase_frequency", gold.customer_purchase_frequency(silver, audit=False))):
         assert rows(got[name].select(*want.columns)) == rows(want), name
+
+
+def test_z_order_in_portions(spark, tmp_dir, monkeypatch):
+    df = spark.range(4_000).select((F.col("id") % 2).cast("int").alias("p"), "id", (F.col("id") * 7919 % 4001).alias("x"))
+    tables.publish(df, tmp_dir, partition_by=["p"])
+    size = maintenance.table_health(spark, tables.version_path(tmp_dir, 1)).first()["size_bytes"]
+    monkeypatch.setattr(maintenance, "PORTION_BYTES", size // 3)
+    maintenance.compact(spark, tmp_dir, target_bytes=size // 9, zorder_by=["x"])
+    got = tables.read(spark, tmp_dir)
+    assert rows(got.select("p", "id", "x")) == rows(df)
+    ranges = got.groupBy("p", F.col("_metadata.file_path").alias("f")).agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
+    assert len(ranges) > 6
+    for p in (0, 1):      # the files of a partition do not overlap by more than the buckets of the order
+        own = sorted(((r.lo, r.hi) for r in ranges if r.p == p), key=lambda r: r[::-1])
+        assert len(own) > 3 and all(b[0] >= a[1] - 2 * 4001 // 256 for a, b in zip(own, own[1:]))
